@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from roastery.functions import (
 )
 from roastery.operators.keys import assign_keys, first_by_key, one_row
 from roastery.rules import DEFAULT_RULES, UNKNOWN_PRODUCT, UNKNOWN_USER, Rules
-from roastery.storage import read_table, write_table
+from roastery.storage import read_table, side_by_side, write_table
 
 
 def dim_product(products: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -168,10 +168,9 @@ def promote_dims(
 
     ``label`` may add or change columns of a dimension on the way.
     """
-    rows = {}
-    for name in names:
+
+    def copy(name: str) -> int:
         table = read_table(spark, f"{src}/{name}")
-        if label is not None:
-            table = label(name, table)
-        rows[name] = write_table(table, f"{dst}/{name}")
-    return rows
+        return write_table(table if label is None else label(name, table), f"{dst}/{name}")
+
+    return side_by_side(spark, {name: partial(copy, name) for name in names})

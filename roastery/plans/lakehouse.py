@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from roastery.storage import (
     path_exists,
     read_snapshot,
     read_table,
+    side_by_side,
     table_exists,
     write_snapshot,
     write_table,
@@ -128,14 +130,18 @@ def build_dims(
 
     spend, leads = raw("daily_ad_spend"), raw("raw_web_leads")
     dates = dims.calendar_dates(raw("sales_dump"), raw("website_interactions"), spend, leads, rules)
-    built = {
-        "dim_product": dims.dim_product(raw("product_codes"), known("dim_product")),
-        "dim_platform": dims.dim_platform(spend, leads, rules, known("dim_platform")),
-        "dim_date": dims.dim_date(*dates),
-        "dim_user": dims.dim_user(raw("crm_users_export"), known("dim_user")),
-        "dim_influencer": dims.dim_influencer(raw("influencer_campaigns"), known("dim_influencer")),
+    builders = {
+        "dim_product": lambda: dims.dim_product(raw("product_codes"), known("dim_product")),
+        "dim_platform": lambda: dims.dim_platform(spend, leads, rules, known("dim_platform")),
+        "dim_date": lambda: dims.dim_date(*dates),
+        "dim_user": lambda: dims.dim_user(raw("crm_users_export"), known("dim_user")),
+        "dim_influencer": lambda: dims.dim_influencer(raw("influencer_campaigns"), known("dim_influencer")),
     }
-    return {name: write_table(df, layout.conformed(name)) for name, df in built.items()}
+
+    def store(name: str) -> int:
+        return write_table(builders[name](), layout.conformed(name))
+
+    return side_by_side(spark, {name: partial(store, name) for name in builders})
 
 
 def build_facts(spark: SparkSession, layout: Layout, rules: Rules = DEFAULT_RULES) -> dict[str, int]:
@@ -144,16 +150,19 @@ def build_facts(spark: SparkSession, layout: Layout, rules: Rules = DEFAULT_RULE
     def dim(name: str) -> DataFrame:
         return read_table(spark, layout.conformed(name), schemas.STAR[name])
 
-    spend = facts.fact_ad_spend(
-        read_table(spark, layout.raw("daily_ad_spend")), dim("dim_date"), dim("dim_platform"), rules
-    )
-    sales = facts.fact_sales(
-        read_table(spark, layout.raw("sales_dump")), dim("dim_user"), dim("dim_product"), rules
-    )
-    return {
-        "conformed_ad_spend": write_table(spend, layout.conformed("fact_ad_spend")),
-        "conformed_sales": write_table(sales, layout.conformed("fact_sales")),
-    }
+    def spend() -> int:
+        fact = facts.fact_ad_spend(
+            read_table(spark, layout.raw("daily_ad_spend")), dim("dim_date"), dim("dim_platform"), rules
+        )
+        return write_table(fact, layout.conformed("fact_ad_spend"))
+
+    def sales() -> int:
+        fact = facts.fact_sales(
+            read_table(spark, layout.raw("sales_dump")), dim("dim_user"), dim("dim_product"), rules
+        )
+        return write_table(fact, layout.conformed("fact_sales"))
+
+    return side_by_side(spark, {"conformed_ad_spend": spend, "conformed_sales": sales})
 
 
 def build_serving(
@@ -178,9 +187,14 @@ def build_serving(
         served("dim_product"),
         rules,
     )
-    rows["fact_ad_spend"] = write_snapshot(spend, layout.serving("fact_ad_spend"))
-    rows["fact_sales"] = write_table(
-        with_sales_partition(sales), layout.serving("fact_sales"), layout.sales_partition, "date_key"
+    rows |= side_by_side(
+        spark,
+        {
+            "fact_ad_spend": lambda: write_snapshot(spend, layout.serving("fact_ad_spend")),
+            "fact_sales": lambda: write_table(
+                with_sales_partition(sales), layout.serving("fact_sales"), layout.sales_partition, "date_key"
+            ),
+        },
     )
     daily = marketing_performance(served("fact_sales"), served("fact_ad_spend"), rules)
     rows["fact_marketing_performance"] = write_snapshot(

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _local_scratch: dict[str, str] = {}
+Result = TypeVar("Result")
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -45,13 +50,24 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _filesystem(spark: SparkSession, path: str):
+def side_by_side(spark: SparkSession, jobs: Mapping[str, Callable[[], Result]]) -> dict[str, Result]:
+    """Run independent Spark actions at the same time, so that small tables share the cluster."""
+    if not jobs:
+        return {}
+    with ThreadPoolExecutor(max_workers=len(jobs)) as threads:
+        started = {
+            name: threads.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()
+        }
+        return {name: future.result() for name, future in started.items()}
+
+
+def filesystem_of(spark: SparkSession, path: str):
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    filesystem, hadoop_path = _filesystem(spark, path)
+    filesystem, hadoop_path = filesystem_of(spark, path)
     return filesystem.exists(hadoop_path)
 
 
@@ -62,7 +78,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def list_folder(spark: SparkSession, path: str) -> list[str]:
     """Names directly under ``path``, sorted; metadata only."""
-    filesystem, hadoop_path = _filesystem(spark, path)
+    filesystem, hadoop_path = filesystem_of(spark, path)
     return sorted(status.getPath().getName() for status in filesystem.listStatus(hadoop_path))
 
 
@@ -122,7 +138,7 @@ def write_snapshot(df: DataFrame, path: str, keep: int = 5) -> int:
     number = int(taken[-1].removeprefix("snapshot-")) + 1 if taken else 1
     rows = write_table(df.hint("rebalance"), f"{path}/snapshot-{number:012d}")
     for old in snapshots(spark, path)[:-keep]:
-        filesystem, hadoop_path = _filesystem(spark, f"{path}/{old}")
+        filesystem, hadoop_path = filesystem_of(spark, f"{path}/{old}")
         filesystem.delete(hadoop_path, True)
     return rows
 

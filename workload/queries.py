@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +27,7 @@ from roastery.plans.lakehouse import (
 from roastery.rules import DEFAULT_RULES
 from roastery.sources.export import export_tables, read_exported, verify_export
 from roastery.sources.raw import PROVENANCE, ingest_raw
-from roastery.storage import scratch_path, write_snapshot, write_table
+from roastery.storage import read_table, scratch_path, side_by_side, write_snapshot, write_table
 from roastery.streaming.live import watch
 from workload.drops import drop_csv, write_csv_sources
 from workload.messy import source, table
@@ -96,29 +96,36 @@ def shipment_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- star tables from the messy sources ---------------------------------------------------
 
 
-def messy_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    spend, leads = source(spark, sf_dir, "daily_ad_spend"), source(spark, sf_dir, "raw_web_leads")
-    dates = dims.calendar_dates(
-        source(spark, sf_dir, "sales_dump"), source(spark, sf_dir, "website_interactions"), spend, leads
-    )
-    return {
-        "dim_date": dims.dim_date(*dates),
-        "dim_platform": dims.dim_platform(spend, leads),
-        "dim_user": dims.dim_user(source(spark, sf_dir, "crm_users_export")),
-        "dim_product": dims.dim_product(source(spark, sf_dir, "product_codes")),
-    }
+def messy_dim(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    def messy(source_name: str) -> DataFrame:
+        return source(spark, sf_dir, source_name)
 
+    if name == "dim_date":
+        sources = ("sales_dump", "website_interactions", "daily_ad_spend", "raw_web_leads")
+        return dims.dim_date(*dims.calendar_dates(*[messy(s) for s in sources]))
+    if name == "dim_platform":
+        return dims.dim_platform(messy("daily_ad_spend"), messy("raw_web_leads"))
+    if name == "dim_user":
+        return dims.dim_user(messy("crm_users_export"))
+    return dims.dim_product(messy("product_codes"))
 
-def messy_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = messy_dims(spark, sf_dir)
-    return facts.fact_ad_spend(
-        source(spark, sf_dir, "daily_ad_spend"), star["dim_date"], star["dim_platform"]
-    )
+
+def stored_dims(spark: SparkSession, sf_dir: str, *names: str, dst: str | None = None) -> dict[str, DataFrame]:
+    """Dimensions built from the messy sources and written, as facts would find them."""
+    folder = dst or scratch_path(spark, "dims")
+    built = {name: messy_dim(spark, sf_dir, name) for name in names}
+    side_by_side(spark, {n: partial(write_table, df, f"{folder}/{n}") for n, df in built.items()})
+    return {n: read_table(spark, f"{folder}/{n}", schemas.STAR[n]) for n in names}
 
 
-def messy_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = messy_dims(spark, sf_dir)
-    return facts.fact_sales(source(spark, sf_dir, "sales_dump"), star["dim_user"], star["dim_product"])
+def messy_spend(spark: SparkSession, sf_dir: str, star: dict[str, DataFrame]) -> DataFrame:
+    spend = source(spark, sf_dir, "daily_ad_spend")
+    return facts.fact_ad_spend(spend, star["dim_date"], star["dim_platform"])
+
+
+def messy_sales(spark: SparkSession, sf_dir: str, star: dict[str, DataFrame], **sizes: bool) -> DataFrame:
+    sales = source(spark, sf_dir, "sales_dump")
+    return facts.fact_sales(sales, star["dim_user"], star["dim_product"], **sizes)
 
 
 # --- metrics ------------------------------------------------------------------------------
@@ -195,7 +202,7 @@ def dim_platform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messy_dims(spark, sf_dir)["dim_date"]
+    return messy_dim(spark, sf_dir, "dim_date")
 
 
 @query
@@ -225,9 +232,8 @@ def stable_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def promote_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, dst = scratch_path(spark, "promote-src"), scratch_path(spark, "promote-dst")
-    for name, df in messy_dims(spark, sf_dir).items():
-        write_table(df, f"{src}/{name}")
     names = ["dim_date", "dim_platform", "dim_product", "dim_user"]
+    stored_dims(spark, sf_dir, *names, dst=src)
     dims.promote_dims(spark, names, src, dst)
     return quality.table_counts({n: spark.read.parquet(f"{dst}/{n}") for n in names})
 
@@ -237,31 +243,23 @@ def promote_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_ad_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = messy_dims(spark, sf_dir)
-    spend = facts.fact_ad_spend(source(spark, sf_dir, "daily_ad_spend"), star["dim_date"], star["dim_platform"])
+    star = stored_dims(spark, sf_dir, "dim_date", "dim_platform")
+    spend = messy_spend(spark, sf_dir, star)
     final, _report = facts.finalize_ad_spend(spend, star["dim_date"], star["dim_platform"])
     return portable(final)
 
 
 @query
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = messy_dims(spark, sf_dir)
-    sales = facts.fact_sales(source(spark, sf_dir, "sales_dump"), star["dim_user"], star["dim_product"])
-    final, _report = facts.finalize_sales(sales, star["dim_date"], star["dim_user"], star["dim_product"])
-    return portable(final)
+    star = stored_dims(spark, sf_dir, "dim_user", "dim_product")
+    return portable(facts.with_product_fallback(messy_sales(spark, sf_dir, star)))
 
 
 @query
 def fact_sales_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same fact through the join for dimensions too large to broadcast."""
-    star = messy_dims(spark, sf_dir)
-    sales = facts.fact_sales(
-        source(spark, sf_dir, "sales_dump"),
-        star["dim_user"],
-        star["dim_product"],
-        small_users=False,
-        small_products=False,
-    )
+    star = stored_dims(spark, sf_dir, "dim_user", "dim_product")
+    sales = messy_sales(spark, sf_dir, star, small_users=False, small_products=False)
     return portable(facts.with_product_fallback(sales))
 
 
@@ -272,7 +270,8 @@ def fact_sales_no_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = cleaned.groupBy("date_key").agg(
         F.count(F.lit(1)).alias("source_rows"), F.sum("amount_usd").alias("source_amount")
     )
-    after = messy_sales(spark, sf_dir).groupBy("date_key").agg(
+    star = stored_dims(spark, sf_dir, "dim_user", "dim_product")
+    after = messy_sales(spark, sf_dir, star).groupBy("date_key").agg(
         F.count(F.lit(1)).alias("fact_rows"), F.sum("amount").alias("fact_amount")
     )
     joined = before.join(
@@ -304,27 +303,29 @@ def fk_orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = messy_dims(spark, sf_dir)
-    sales = messy_sales(spark, sf_dir)
+    star = stored_dims(spark, sf_dir, "dim_date", "dim_user", "dim_product")
+    sales = messy_sales(spark, sf_dir, star)
     _final, report = facts.finalize_sales(sales, star["dim_date"], star["dim_user"], star["dim_product"])
     return report
 
 
 @query
 def fk_report_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = messy_dims(spark, sf_dir)
-    _final, report = facts.finalize_ad_spend(messy_spend(spark, sf_dir), star["dim_date"], star["dim_platform"])
+    star = stored_dims(spark, sf_dir, "dim_date", "dim_platform")
+    spend = messy_spend(spark, sf_dir, star)
+    _final, report = facts.finalize_ad_spend(spend, star["dim_date"], star["dim_platform"])
     return report
 
 
 @query
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = stored_dims(spark, sf_dir, "dim_date", "dim_platform", "dim_user", "dim_product")
     return portable(
         quality.quality_report(
             facts.clean_sales(source(spark, sf_dir, "sales_dump")),
-            messy_sales(spark, sf_dir),
+            messy_sales(spark, sf_dir, star),
             facts.clean_ad_spend(source(spark, sf_dir, "daily_ad_spend")),
-            messy_spend(spark, sf_dir),
+            messy_spend(spark, sf_dir, star),
         )
     )
 
@@ -363,10 +364,8 @@ def report_daily_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def report_roas_by_platform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = messy_dims(spark, sf_dir)
-    spend = facts.with_spend_key(
-        facts.fact_ad_spend(source(spark, sf_dir, "daily_ad_spend"), star["dim_date"], star["dim_platform"])
-    )
+    star = stored_dims(spark, sf_dir, "dim_date", "dim_platform")
+    spend = facts.with_spend_key(messy_spend(spark, sf_dir, star))
     return portable(
         reports.report_roas_by_platform(spend, order_sales(spark, sf_dir), star["dim_platform"])
     )
@@ -538,14 +537,10 @@ def refresh_touched_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _live_store(spark: SparkSession, sf_dir: str) -> Layout:
     """A lakehouse with dimensions and spend, and no sales yet."""
     layout = Layout(scratch_path(spark, "live"))
-    for name, df in messy_dims(spark, sf_dir).items():
-        write_table(df, layout.serving(name))
-    spend = facts.fact_ad_spend(
-        source(spark, sf_dir, "daily_ad_spend"),
-        read_served(spark, layout, "dim_date"),
-        read_served(spark, layout, "dim_platform"),
-    )
-    write_snapshot(facts.with_spend_key(spend), layout.serving("fact_ad_spend"))
+    names = ("dim_date", "dim_platform", "dim_user", "dim_product")
+    star = stored_dims(spark, sf_dir, *names, dst=layout.serving())
+    spend = facts.with_spend_key(messy_spend(spark, sf_dir, star))
+    write_snapshot(spend, layout.serving("fact_ad_spend"))
     return layout
 
 
@@ -584,7 +579,8 @@ def stream_sales_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ad_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New spend for other days, then corrected totals for all the stored days."""
     layout, incoming = _live_store(spark, sf_dir), scratch_path(spark, "incoming")
-    sales = schemas.conform(messy_sales(spark, sf_dir), "fact_sales")
+    star = {n: read_served(spark, layout, n) for n in ("dim_user", "dim_product")}
+    sales = messy_sales(spark, sf_dir, star)
     write_table(
         with_sales_partition(facts.with_product_fallback(sales)),
         layout.serving("fact_sales"),
