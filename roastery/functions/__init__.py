@@ -6,6 +6,7 @@ from roastery.functions.cleaning import (
     digits_only,
     normalized,
     numeric_of,
+    one_of,
     parse_ambiguous_date,
     parse_timestamp,
     price_of,
@@ -23,6 +24,7 @@ __all__ = [
     "digits_only",
     "normalized",
     "numeric_of",
+    "one_of",
     "parse_ambiguous_date",
     "parse_timestamp",
     "price_of",

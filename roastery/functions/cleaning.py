@@ -79,6 +79,12 @@ def day_key(day: Column) -> Column:
     return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
 
 
+def one_of(column: str, keys: Iterable[int]) -> Column:
+    """``column IN (...)`` over whole numbers, built as one expression however long the list."""
+    listed = ", ".join(str(int(k)) for k in keys)
+    return F.expr(f"{column} in ({listed})") if listed else F.lit(False)
+
+
 def date_of_key(key: Column) -> Column:
     return F.try_to_date(key.cast("string"), "yyyyMMdd")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roastery import schemas
-from roastery.functions import ratio
+from roastery.functions import one_of, ratio
 from roastery.rules import DEFAULT_RULES, Rules
 
 
@@ -53,5 +53,5 @@ def refresh_performance(
     The days are literals in the filter, so on facts partitioned by day the
     scans open just these partitions.
     """
-    touched = F.col("date_key").isin(date_keys)
+    touched = one_of("date_key", date_keys)
     return marketing_performance(sales.where(touched), spend.where(touched), rules)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roastery import schemas
+from roastery.functions import one_of
 from roastery.operators import dims, facts
 from roastery.operators.metrics import marketing_performance, refresh_performance
 from roastery.operators.quality import fk_report
@@ -68,7 +69,7 @@ def read_sales(spark: SparkSession, layout: Layout, date_keys: list[int] | None
     sales = read_table(spark, layout.serving("fact_sales"), stored)
     if date_keys is not None:
         months = sorted({day // 100 for day in date_keys})
-        sales = sales.where(F.col("month_key").isin(months) & F.col("date_key").isin(date_keys))
+        sales = sales.where(one_of("month_key", months) & one_of("date_key", date_keys))
     return sales.select(*schema.fieldNames())
 
 

@@ -102,14 +102,14 @@ def write_table(
     scans skip the rest, while AQE splits a value that holds a large share of
     all rows over several tasks and files.
     """
-    rows = Observation()
-    shaped = df.observe(rows, F.count(F.lit(1)).alias("rows"))
     if partition_by:
         cluster = cluster_by or partition_by
-        shaped = shaped.hint("rebalance", F.col(cluster)).sortWithinPartitions(
+        df = df.hint("rebalance", F.col(cluster)).sortWithinPartitions(
             *dict.fromkeys([partition_by, cluster])
         )
-    writer = shaped.write.mode(mode)
+    # Counted last: above a shuffle that turns out empty, the count is still there to read.
+    rows = Observation()
+    writer = df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if touched_partitions_only:
