@@ -8,6 +8,7 @@ from roastery.functions.cleaning import (
     numeric_of,
     one_of,
     parse_ambiguous_date,
+    parse_date,
     parse_timestamp,
     price_of,
     ratio,
@@ -26,6 +27,7 @@ __all__ = [
     "numeric_of",
     "one_of",
     "parse_ambiguous_date",
+    "parse_date",
     "parse_timestamp",
     "price_of",
     "ratio",

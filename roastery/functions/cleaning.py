@@ -53,6 +53,25 @@ def to_usd(amount: Column, currency: Column, eur_to_usd: float, void_amount: flo
     return F.when(amount == F.lit(void_amount), F.lit(0).cast(MONEY)).otherwise(dollars.try_cast(MONEY))
 
 
+# Fixed texts of the two usual formats: pattern and ISO order of its groups.
+_SLASH_DATES = {
+    "M/d/yyyy": (r"^0*([0-9]{1,2})/0*([0-9]{1,2})/([0-9]{4})\z", "$3-$1-$2"),
+    "dd/MM/yyyy": (r"^([0-9]{2})/([0-9]{2})/([0-9]{4})\z", "$3-$2-$1"),
+}
+
+
+def parse_date(text: Column, date_format: str) -> Column:
+    """Date in a given format, NULL where the text does not fit.
+
+    The usual slash formats are turned into ISO text and cast, which answers a
+    misfit with NULL; a date formatter raises and catches an error for each.
+    """
+    if date_format not in _SLASH_DATES:
+        return F.try_to_date(text, date_format)
+    pattern, iso = _SLASH_DATES[date_format]
+    return F.when(text.rlike(pattern), F.regexp_replace(text, pattern, iso)).try_cast("date")
+
+
 def parse_ambiguous_date(
     text: Column,
     month_cutoff: int = 2,
@@ -61,10 +80,8 @@ def parse_ambiguous_date(
 ) -> Column:
     """Month-first reading if it lands in an early month, else the day-first reading."""
     trimmed = F.trim(text)
-    us_style = F.try_to_date(trimmed, month_first)
-    return F.when(F.month(us_style) <= month_cutoff, us_style).otherwise(
-        F.try_to_date(trimmed, day_first)
-    )
+    us_style = parse_date(trimmed, month_first)
+    return F.when(F.month(us_style) <= month_cutoff, us_style).otherwise(parse_date(trimmed, day_first))
 
 
 def parse_timestamp(text: Column, formats: Iterable[str] = ()) -> Column:

@@ -137,3 +137,15 @@ def test_break_even_flags(spark, strict, expected):
 def test_one_of(spark):
     assert apply(spark, [1, 2, None], lambda c: fn.one_of("v", [2, 3]), "int") == [False, True, None]
     assert apply(spark, [1], lambda c: fn.one_of("v", []), "int") == [False]
+
+
+def test_slash_dates_agree_with_the_formatter(spark):
+    numbers = ["0", "1", "2", "01", "02", "09", "12", "13", "28", "29", "30", "31", "32", "001", "0015", "123", "", "x", "-1"]
+    years = ["2026", "2024", "1900", "0000", "0001", "9999", "26", "12026", "2026 ", "2026-01-01", ""]
+    texts = [f"{a}/{b}/{y}" for a in numbers for b in numbers for y in years]
+    texts += ["", "/", "//", "1/1", "1/1/1/2026", "2026-01-15", "1-5-2026", "01/02/2026\n", "１/1/2026"]
+    for date_format in ("M/d/yyyy", "dd/MM/yyyy"):
+        fast = apply(spark, texts, lambda c: fn.parse_date(c, date_format).cast("string"))
+        plain = apply(spark, texts, lambda c: F.try_to_date(c, date_format).cast("string"))
+        assert [(t, a, b) for t, a, b in zip(texts, fast, plain) if a != b] == []
+    assert apply(spark, ["2026.01.15"], lambda c: fn.parse_date(c, "yyyy.MM.dd")) == [dt.date(2026, 1, 15)]

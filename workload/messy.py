@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roastery.schemas import SOURCES as SCHEMAS
+from roastery.storage import scratch_path, table_exists
+
 
 def _cents(value: str) -> str:
     return f"cast(round({value} * 100) as bigint)"
@@ -168,9 +171,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+COLUMNS = {name: schema.fieldNames() for name, schema in SCHEMAS.items()}
+COLUMNS["event_spend"] = COLUMNS["daily_ad_spend"]
+_stored: dict[tuple[str, str, str], str] = {}
+
+
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One messy source as a Spark DataFrame."""
-    text, tables = SOURCES[name]
-    for given in tables:
-        table(spark, sf_dir, given).createOrReplaceTempView(given)
-    return spark.sql(text)
+    """One messy source, as a raw table: derived once per session, then read like any ingested one."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    path = _stored.get(key)
+    if path is None or not table_exists(spark, path):
+        text, tables = SOURCES[name]
+        for given in tables:
+            table(spark, sf_dir, given).createOrReplaceTempView(given)
+        path = scratch_path(spark, f"raw-{name}")
+        # Small given files come as one split each; spread the text work over the cores.
+        spark.sql(text).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+        _stored[key] = path
+    return spark.read.schema(", ".join(f"`{c}` string" for c in COLUMNS[name])).parquet(path)
