@@ -16,7 +16,6 @@ from roastery.storage import materialize
 HOT_KEYS = 1000
 BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 32
-_SALTS = 1 << 16
 
 
 def unique_lookup(members: DataFrame, member_col: str, key_col: str) -> DataFrame:
@@ -75,25 +74,22 @@ def _hot_keys_apart(probed: DataFrame, lookup: DataFrame) -> DataFrame:
     hot = busiest.join(found, F.col("_hot") == F.col("_member"), "left").select(
         "_hot", F.col("_key").alias("_hot_key")
     )
-    # Rows settled by the hot table, and rows without a key, match nothing below.
-    # They get a spread of placeholder keys in place of one crowded value; the
-    # prefixes keep placeholders and real keys apart.
-    row_hash = F.xxhash64(*[F.col(c) for c in probed.columns])
-    salted = probed.withColumn(
-        "_salt", F.concat(F.lit("-"), F.pmod(F.xxhash64(row_hash, F.spark_partition_id()), F.lit(_SALTS)).cast("string"))
+    # Rows settled by the hot table, and rows without a key, take no part in the
+    # join below: their key is NULL there.  The hash that goes along decides only
+    # where a row is sent, so for them it is a spread of values, the same again
+    # when a task is repeated.
+    content = F.xxhash64(*[F.col(c) for c in probed.columns])
+    spread = probed.withColumn("_spread", F.xxhash64(content, F.spark_partition_id()))
+    tagged = spread.join(F.broadcast(hot), F.col("_probe") == F.col("_hot"), "left")
+    is_cold = F.col("_hot").isNull() & F.col("_probe").isNotNull()
+    routed = tagged.select(
+        *probed.columns,
+        "_hot_key",
+        F.when(is_cold, F.col("_probe")).alias("_cold"),
+        F.when(is_cold, F.xxhash64("_probe")).otherwise(F.col("_spread")).alias("_route"),
     )
-    settled = salted.join(F.broadcast(hot), F.col("_probe") == F.col("_hot"), "left")
-    shuffled = settled.withColumn(
-        "_route",
-        F.when(F.col("_hot").isNull() & F.col("_probe").isNotNull(), F.concat(F.lit("+"), F.col("_probe").cast("string")))
-        .otherwise(F.col("_salt")),
-    )
-    cold = lookup.select(
-        F.concat(F.lit("+"), F.col("_member").cast("string")).alias("_cold"), F.col("_key").alias("_cold_key")
-    )
-    return (
-        shuffled.join(cold, F.col("_route") == F.col("_cold"), "left")
-        .withColumn("_member", F.lit(None).cast("string"))
-        .withColumn("_key", F.coalesce("_hot_key", "_cold_key"))
-        .drop("_hot", "_hot_key", "_salt", "_route", "_cold", "_cold_key")
+    cold = lookup.select("_member", F.xxhash64("_member").alias("_member_route"), F.col("_key").alias("_cold_key"))
+    same = (F.col("_route") == F.col("_member_route")) & (F.col("_cold") == F.col("_member"))
+    return routed.join(cold, same, "left").select(
+        *probed.columns, "_member", F.coalesce("_hot_key", "_cold_key").alias("_key")
     )
