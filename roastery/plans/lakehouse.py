@@ -12,9 +12,8 @@ from pyspark.sql import types as T
 
 from roastery import schemas
 from roastery.functions import one_of
-from roastery.operators import dims, facts
+from roastery.operators import dims, facts, quality
 from roastery.operators.metrics import marketing_performance, refresh_performance
-from roastery.operators.quality import fk_report
 from roastery.operators.upsert import merge_snapshot
 from roastery.rules import DEFAULT_RULES, SERVING_KEYS, Rules
 from roastery.sources.export import export_tables
@@ -23,6 +22,7 @@ from roastery.storage import (
     path_exists,
     read_snapshot,
     read_table,
+    scratch_scope,
     side_by_side,
     table_exists,
     write_snapshot,
@@ -166,6 +166,21 @@ def build_facts(spark: SparkSession, layout: Layout, rules: Rules = DEFAULT_RULE
     return side_by_side(spark, {"conformed_ad_spend": spend, "conformed_sales": sales})
 
 
+def store_batch_rejects(
+    spark: SparkSession, layout: Layout, rules: Rules = DEFAULT_RULES
+) -> dict[str, int]:
+    """Unusable rows of both raw facts, one row per reason, as batch 0 of the rejects."""
+    sales = facts.clean_sales(read_table(spark, layout.raw("sales_dump")), rules)
+    spend = facts.clean_ad_spend(read_table(spark, layout.raw("daily_ad_spend")), rules)
+    rejected = {"sales_dump": quality.sales_rejects(sales), "daily_ad_spend": quality.spend_rejects(spend)}
+
+    def store(name: str) -> int:
+        kept = rejected[name].select(*schemas.SOURCES[name].fieldNames(), "reason")
+        return write_table(kept, layout.rejects(f"batch/{name}"))
+
+    return side_by_side(spark, {f"rejects_{name}": partial(store, name) for name in rejected})
+
+
 def build_serving(
     spark: SparkSession, layout: Layout, rules: Rules = DEFAULT_RULES
 ) -> tuple[dict[str, int], dict[str, DataFrame]]:
@@ -202,7 +217,7 @@ def build_serving(
         schemas.conform(daily, "fact_marketing_performance"),
         layout.serving("fact_marketing_performance"),
     )
-    daily_keys = fk_report(
+    daily_keys = quality.fk_report(
         served("fact_marketing_performance"), {"date_key": (served("dim_date"), "date_key")}
     )
     reports = {
@@ -221,18 +236,24 @@ def run_pipeline(
     export_options: Mapping[str, str] | None = None,
     export_format: str = "jdbc",
     multi_line: dict[str, bool] | None = None,
+    keep_rejects: bool = False,
 ) -> tuple[dict[str, int], dict[str, DataFrame]]:
     """CSV folder to serving tables, and to a relational store if options are given.
 
-    Returns rows written per table and the foreign-key reports, which are lazy.
+    ``keep_rejects`` also stores the rows that could not be used, with the
+    reasons, at the price of another pass over the raw facts; how many there are
+    is in the reports either way.  Returns rows written per table and the foreign-key reports, which are lazy.
     """
     layout = dst if isinstance(dst, Layout) else Layout(dst)
-    rows = {f"raw_{t}": n for t, n in ingest_raw(spark, src, layout.raw(), multi_line).items()}
-    rows.update(build_dims(spark, layout, rules))
-    rows.update(build_facts(spark, layout, rules))
-    served, reports = build_serving(spark, layout, rules)
-    rows.update(served)
-    if export_options is not None:
-        tables, _missing = served_tables(spark, layout)
-        export_tables(tables, export_options, export_format)
+    with scratch_scope(spark, "run"):
+        rows = {f"raw_{t}": n for t, n in ingest_raw(spark, src, layout.raw(), multi_line).items()}
+        rows.update(build_dims(spark, layout, rules))
+        rows.update(build_facts(spark, layout, rules))
+        if keep_rejects:
+            rows.update(store_batch_rejects(spark, layout, rules))
+        served, reports = build_serving(spark, layout, rules)
+        rows.update(served)
+        if export_options is not None:
+            tables, _missing = served_tables(spark, layout)
+            export_tables(tables, export_options, export_format)
     return rows, reports

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _local_scratch: dict[str, str] = {}
+_scope: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch_scope", default=None)
 Result = TypeVar("Result")
 
 
@@ -36,7 +39,24 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/roastery/{label}-{uuid.uuid4().hex}"
+    """A new place for a scratch table, inside the current scope if there is one."""
+    folder = _scope.get() or f"{scratch_root(spark)}/roastery"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, label: str) -> Iterator[None]:
+    """Scratch tables made inside are deleted at the end: for runs and batches that recur.
+
+    Nothing lazy that was built on one may be used afterwards.
+    """
+    folder = scratch_path(spark, label)
+    previous = _scope.set(folder)
+    try:
+        yield
+    finally:
+        _scope.reset(previous)
+        delete_folder(spark, folder)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -56,7 +76,8 @@ def side_by_side(spark: SparkSession, jobs: Mapping[str, Callable[[], Result]])
         return {}
     with ThreadPoolExecutor(max_workers=len(jobs)) as threads:
         started = {
-            name: threads.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()
+            name: threads.submit(contextvars.copy_context().run, inheritable_thread_target(spark)(job))
+            for name, job in jobs.items()
         }
         return {name: future.result() for name, future in started.items()}
 
@@ -71,6 +92,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return filesystem.exists(hadoop_path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    filesystem, hadoop_path = filesystem_of(spark, path)
+    filesystem.delete(hadoop_path, True)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True for a completely written table (the commit marker is there)."""
     return path_exists(spark, f"{path}/_SUCCESS")
@@ -138,8 +164,7 @@ def write_snapshot(df: DataFrame, path: str, keep: int = 5) -> int:
     number = int(taken[-1].removeprefix("snapshot-")) + 1 if taken else 1
     rows = write_table(df.hint("rebalance"), f"{path}/snapshot-{number:012d}")
     for old in snapshots(spark, path)[:-keep]:
-        filesystem, hadoop_path = filesystem_of(spark, f"{path}/{old}")
-        filesystem.delete(hadoop_path, True)
+        delete_folder(spark, f"{path}/{old}")
     return rows
 
 

@@ -71,7 +71,17 @@ def test_batch_run_and_rerun(spark, store, tmp_path):
     before = {n: rows(read_served(spark, store, n)) for n in schemas.DIMENSIONS}
     performance = rows(read_served(spark, store, "fact_marketing_performance"))
     assert performance == expected_performance(spark, store)
-    counts, reports = run_pipeline(spark, str(tmp_path / "sources"), store)
+    counts, reports = run_pipeline(
+        spark,
+        str(tmp_path / "sources"),
+        store,
+        export_options={"path": str(tmp_path / "export")},
+        export_format="parquet",
+        keep_rejects=True,
+    )
+    assert (counts["rejects_sales_dump"], counts["rejects_daily_ad_spend"]) == (0, 0)
+    exported = spark.read.parquet(str(tmp_path / "export" / "fact_sales"))
+    assert rows(exported) == rows(read_sales(spark, store))
     assert before == {n: rows(read_served(spark, store, n)) for n in schemas.DIMENSIONS}
     assert performance == rows(read_served(spark, store, "fact_marketing_performance"))
     assert counts["raw_extra"] == 1

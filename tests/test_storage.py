@@ -10,9 +10,13 @@ from roastery import schemas
 from roastery.operators import upsert as up
 from roastery.sources import export, raw
 from roastery.storage import (
+    materialize,
     path_exists,
     read_snapshot,
+    scratch_path,
     scratch_root,
+    scratch_scope,
+    side_by_side,
     snapshots,
     write_snapshot,
     write_table,
@@ -136,6 +140,17 @@ def test_scratch_folder_is_the_one_the_session_names(spark):
         assert scratch_root(spark) == named.rstrip("/")
 
 
+def test_scratch_scope_leaves_nothing_behind(spark):
+    with scratch_scope(spark, "test"):
+        kept = materialize(spark.range(3).toDF("n"), "inner")
+        found = side_by_side(spark, {"a": lambda: scratch_path(spark, "x"), "b": kept.count})
+        folder = found["a"].rsplit("/", 1)[0]
+        assert found["b"] == 3
+        assert path_exists(spark, folder)
+    assert not path_exists(spark, folder)
+    assert not scratch_path(spark, "y").startswith(folder)
+
+
 def test_partitioned_write_counts_rows_and_takes_an_empty_frame(spark, tmp_path):
     sales = _sales(spark, ("a", 20260101, "1"), ("b", 20260102, "2"))
     assert write_table(sales, str(tmp_path / "t"), "date_key") == 2
