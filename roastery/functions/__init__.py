@@ -4,6 +4,7 @@ from roastery.functions.cleaning import (
     date_of_key,
     day_key,
     digits_only,
+    money_sum,
     normalized,
     numeric_of,
     one_of,
@@ -23,6 +24,7 @@ __all__ = [
     "date_of_key",
     "day_key",
     "digits_only",
+    "money_sum",
     "normalized",
     "numeric_of",
     "one_of",

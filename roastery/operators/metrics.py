@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roastery import schemas
-from roastery.functions import one_of, ratio
+from roastery.functions import money_sum, one_of, ratio
 from roastery.rules import DEFAULT_RULES, Rules
 
 
@@ -24,7 +24,7 @@ def marketing_performance(
     users; ``distinct_users`` adds the number of different ones.
     """
     known = F.col("user_key") != rules.unknown_user_key
-    measures = [F.sum("amount").alias("total_revenue"), F.count_if(known).alias("paying_users")]
+    measures = [money_sum(sales, "amount").alias("total_revenue"), F.count_if(known).alias("paying_users")]
     if distinct_users:
         measures.append(F.count_distinct(F.when(known, F.col("user_key"))).alias("distinct_paying_users"))
     revenue = sales.groupBy("date_key").agg(*measures)

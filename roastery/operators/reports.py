@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roastery.functions import date_of_key, reaches
+from roastery.functions import date_of_key, money_sum, reaches
 from roastery.rules import DEFAULT_RULES, Rules
 
 
@@ -41,7 +41,7 @@ def report_roas_by_platform(
         .groupBy("platform")
         .agg(F.sum("total_spend").alias("total_spend"))
     )
-    revenue = sales.agg(F.coalesce(F.sum("amount"), F.lit(0)).alias("revenue")).scalar()
+    revenue = sales.agg(F.coalesce(money_sum(sales, "amount"), F.lit(0)).alias("revenue")).scalar()
     priced = spend.select(
         "platform", F.coalesce("total_spend", F.lit(0)).alias("total_spend"), revenue.alias("total_revenue")
     )
@@ -125,7 +125,7 @@ def report_daily_sales(sales: DataFrame) -> DataFrame:
     return (
         sales.where(F.col("date_key").isNotNull())
         .groupBy("date_key")
-        .agg(F.sum("amount").alias("daily_revenue"), F.count("sale_id").alias("transactions"))
+        .agg(money_sum(sales, "amount").alias("daily_revenue"), F.count("sale_id").alias("transactions"))
         .orderBy("date_key")
         .select(date_of_key(F.col("date_key")).alias("date"), "daily_revenue", "transactions")
     )

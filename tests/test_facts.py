@@ -8,6 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from roastery.functions import money_sum
 from roastery.operators import dims, facts, quality
 from roastery.operators.lookup import attach_key
 from roastery.operators.metrics import marketing_performance, refresh_performance
@@ -198,3 +199,12 @@ def test_distinct_payers_come_in_columns_of_their_own(spark):
 def test_calendar_covers_what_the_facts_parse(star):
     calendar = [r["full_date"] for r in star["dim_date"].orderBy("full_date").collect()]
     assert (calendar[0], calendar[-1]) == (dt.date(2026, 1, 14), dt.date(2026, 1, 18))
+
+
+def test_money_sums_are_exact_and_of_the_plain_type(spark):
+    values = [Decimal("0.01"), Decimal("-9999999999.99"), Decimal("9999999999.99"), None, Decimal("123.45")]
+    narrow = spark.createDataFrame([(v,) for v in values * 50], "v decimal(12,2)")
+    for df in (narrow, narrow.select(F.col("v").cast("decimal(20,4)").alias("v")), narrow.limit(0)):
+        fast, plain = df.agg(money_sum(df, "v").alias("s")), df.agg(F.sum("v").alias("s"))
+        assert fast.schema == plain.schema
+        assert fast.collect() == plain.collect()

@@ -285,7 +285,7 @@ def fact_sales_no_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier keys read as customer keys, against the customers: a real mismatch of domains."""
+    """Part keys read as customer keys, against the customers: a real mismatch of domains."""
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("user_key"))
     users = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_key"))
     return quality.orphan_keys(lines, users, "user_key", "user_key")
