@@ -43,6 +43,13 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str) ->
     )
 
 
+def orphan_sample(
+    fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str, n: int = 10
+) -> DataFrame:
+    """The n unmatched keys that most fact rows carry."""
+    return orphan_keys(fact, dim, fact_col, dim_col).orderBy(F.desc("fact_rows"), fact_col).limit(n)
+
+
 def check_fk(
     fact: DataFrame,
     dim: DataFrame,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roastery.functions import date_of_key, money_sum, reaches
 from roastery.rules import DEFAULT_RULES, Rules
+from roastery.storage import materialize
 
 
 def report_daily_performance(performance: DataFrame) -> DataFrame:
@@ -88,18 +89,19 @@ def report_sales_feed(
 ) -> DataFrame:
     """The latest n sales with customer and product names.
 
-    The top n are taken before any join.  They are kept in the cache, n rows, so
-    the fact is read once though they serve three times: as the feed itself and
-    to cut either dimension down to the members it needs.
+    The top n are taken before any join and written as a scratch table of n rows,
+    so the fact is read once though they serve three times: as the feed itself
+    and to cut either dimension down to the members it needs.  (A cached frame
+    would go stale when another application appends sales.)
     """
     newest_first = [F.desc("date_key"), F.desc("sale_id")]
     wanted = rules.feed_size if n is None else n
-    latest = (
+    latest = materialize(
         sales.where(F.col("date_key").isNotNull())
         .select("sale_id", "date_key", "user_key", "product_key", "amount")
         .orderBy(*newest_first)
-        .limit(wanted)
-        .persist()
+        .limit(wanted),
+        "feed",
     )
 
     def named(dim: DataFrame, key: str, name: str) -> DataFrame:

@@ -89,6 +89,14 @@ def served_tables(spark: SparkSession, layout: Layout) -> tuple[dict[str, DataFr
     return {n: read_served(spark, layout, n) for n in present}, missing
 
 
+def register_views(spark: SparkSession, layout: Layout) -> list[str]:
+    """Make the serving tables queryable by name in SQL, as they are now; returns the names."""
+    tables, _missing = served_tables(spark, layout)
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    return list(tables)
+
+
 def refresh_days(
     spark: SparkSession, layout: Layout, date_keys: list[int], rules: Rules = DEFAULT_RULES
 ) -> int:

@@ -286,6 +286,7 @@ ORACLE["fact_sales_no_fanout"] = _sql(
 ORACLE["fk_orphans"] = """
 select l_partkey as user_key, count(*) as fact_rows from lineitem
 where l_partkey not in (select c_custkey from customer) group by l_partkey"""
+ORACLE["fk_orphan_sample"] = ORACLE["fk_orphans"] + " order by fact_rows desc, user_key limit 10"
 ORACLE["fk_orphan_rows"] = """
 select l_orderkey, l_linenumber, l_partkey as user_key from lineitem
 where l_partkey not in (select c_custkey from customer)"""
@@ -524,3 +525,14 @@ ORACLE["end_to_end_counts"] = _sql(
     complete_spend="select * from spend_fact where date_key is not null and platform_key is not null",
     **_performance("sales_fact", "complete_spend"),
 )
+ORACLE["serving_sql"] = _sql(
+    """select year, month, side, count(*) as entries, cast(sum(value) as double) as total
+       from (select year, month, 'sales' as side, cast(amount as decimal(18,2)) as value
+             from order_sales join dim_date using (date_key)
+             union all
+             select year, month, platform, total_cost
+             from spend_fact join dim_date using (date_key) join dim_platform using (platform_key))
+       group by year, month, side""",
+    "order_sales",
+    "spend_fact",
+)

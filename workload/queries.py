@@ -20,6 +20,7 @@ from roastery.plans.lakehouse import (
     read_sales,
     read_served,
     refresh_days,
+    register_views,
     run_pipeline,
     served_tables,
     with_sales_partition,
@@ -291,6 +292,13 @@ def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.orphan_keys(lines, users, "user_key", "user_key")
 
 
+@query
+def fk_orphan_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("user_key"))
+    users = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_key"))
+    return quality.orphan_sample(lines, users, "user_key", "user_key")
+
+
 @query
 def fk_orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
@@ -531,6 +539,35 @@ def refresh_touched_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(read_served(spark, layout, "fact_marketing_performance"))
 
 
+@query
+def serving_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Serving tables under their names in SQL: monthly totals of sales and spend."""
+    layout = Layout(scratch_path(spark, "serving"))
+    star = stored_dims(spark, sf_dir, "dim_date", "dim_platform", dst=layout.serving())
+    write_snapshot(facts.with_spend_key(messy_spend(spark, sf_dir, star)), layout.serving("fact_ad_spend"))
+    write_table(
+        with_sales_partition(order_sales(spark, sf_dir)),
+        layout.serving("fact_sales"),
+        layout.sales_partition,
+        "date_key",
+    )
+    register_views(spark, layout)
+    return portable(
+        spark.sql(
+            """
+            with months as (
+                select year, month, 'sales' as side, cast(amount as decimal(18,2)) as value
+                from fact_sales join dim_date using (date_key)
+                union all
+                select year, month, platform, total_cost
+                from fact_ad_spend join dim_date using (date_key) join dim_platform using (platform_key))
+            select year, month, side, count(*) as entries, sum(value) as total
+            from months group by year, month, side
+            """
+        )
+    )
+
+
 # --- streaming ----------------------------------------------------------------------------
 
 
