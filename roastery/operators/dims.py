@@ -56,10 +56,13 @@ def dim_platform(
     rules: Rules = DEFAULT_RULES,
     known: DataFrame | None = None,
 ) -> DataFrame:
-    """Every canonical platform seen on either side; its size is bounded by the alias lists."""
+    """Every canonical platform seen on either side; its size is bounded by the alias lists.
+
+    Spellings are made distinct before they are read.
+    """
     names = (
-        ad_platforms(ad_spend, rules)
-        .union(lead_sources(leads, rules))
+        ad_platforms(ad_spend.select("platform").distinct(), rules)
+        .union(lead_sources(leads.select("source").distinct(), rules))
         .where(F.col("platform").isNotNull())
         .distinct()
     )
@@ -75,21 +78,25 @@ def calendar_dates(
     leads: DataFrame,
     rules: Rules = DEFAULT_RULES,
 ) -> list[DataFrame]:
-    """One date column per source, read with the same parsers as the facts."""
+    """One date column per source, read with the same parsers as the facts.
+
+    Day texts repeat, so each is parsed once; timestamps hardly do.
+    """
 
-    def messy(column: str):
-        return parse_ambiguous_date(
+    def messy(df: DataFrame, column: str) -> DataFrame:
+        parsed = parse_ambiguous_date(
             F.col(column), rules.month_cutoff, rules.month_first_format, rules.day_first_format
         )
+        return df.select(column).distinct().select(parsed.alias("day"))
 
-    def stamped(column: str):
-        return F.to_date(parse_timestamp(F.col(column), rules.timestamp_formats))
+    def stamped(df: DataFrame, column: str) -> DataFrame:
+        return df.select(F.to_date(parse_timestamp(F.col(column), rules.timestamp_formats)).alias("day"))
 
     return [
-        sales.select(stamped("timestamp").alias("day")),
-        interactions.select(stamped("ts").alias("day")),
-        ad_spend.select(messy("event_date").alias("day")),
-        leads.select(messy("signup_date").alias("day")),
+        stamped(sales, "timestamp"),
+        stamped(interactions, "ts"),
+        messy(ad_spend, "event_date"),
+        messy(leads, "signup_date"),
     ]
 
 

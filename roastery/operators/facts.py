@@ -26,19 +26,23 @@ TOTAL = "decimal(18,2)"
 PLATFORM_SLOTS = 100_000
 
 
-def clean_ad_spend(ad_spend: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Source rows plus ``platform_clean``, ``spend_date`` and ``cost_clean``."""
+def clean_grain(ad_spend: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Add ``platform_clean`` and ``spend_date``, NULL where the text says nothing known."""
     return ad_spend.withColumns(
         {
             "platform_clean": canonicalize(F.col("platform"), rules.ad_platform_aliases),
             "spend_date": parse_ambiguous_date(
                 F.col("event_date"), rules.month_cutoff, rules.month_first_format, rules.day_first_format
             ),
-            "cost_clean": F.col("cost").try_cast(COST),
         }
     )
 
 
+def clean_ad_spend(ad_spend: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Source rows plus ``platform_clean``, ``spend_date`` and ``cost_clean``."""
+    return clean_grain(ad_spend, rules).withColumn("cost_clean", F.col("cost").try_cast(COST))
+
+
 def spend_per_day(cleaned: DataFrame, *more_keys: str) -> DataFrame:
     """Total cost per canonical platform and day; unusable rows are left out."""
     usable = cleaned.where(F.col("platform_clean").isNotNull() & F.col("spend_date").isNotNull())
@@ -67,8 +71,15 @@ def fact_ad_spend(
     dim_platform: DataFrame,
     rules: Rules = DEFAULT_RULES,
 ) -> DataFrame:
-    """date_key, platform_key, total_cost: one row per platform and day."""
-    daily = spend_per_day(clean_ad_spend(ad_spend, rules))
+    """date_key, platform_key, total_cost: one row per platform and day.
+
+    Costs are first added up per spelling of day and platform, which are few
+    however many rows there are, so texts are parsed once per spelling.
+    """
+    per_text = ad_spend.groupBy("event_date", "platform").agg(
+        F.sum(F.col("cost").try_cast(COST)).alias("cost_clean")
+    )
+    daily = spend_per_day(clean_grain(per_text, rules))
     return resolve_spend(daily, dim_date, dim_platform).select("date_key", "platform_key", "total_cost")
 
 

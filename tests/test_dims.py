@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from roastery.operators import dims
@@ -24,7 +25,17 @@ def test_first_by_key_is_smallest_with_nulls_last(spark):
     assert ("a", None, 1) in rows(first_by_key(df, "k", order=["n"]))
 
 
-def test_number_rows_equals_a_global_row_number(spark):
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_number_rows_equals_a_global_row_number(spark, coalesce):
+    """Over one partition, as AQE leaves it for little data, and over several."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        _check_numbering(spark)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def _check_numbering(spark):
     df = spark.range(5000).select(F.sha2(F.col("id").cast("string"), 256).alias("k"))
     keyed = number_rows(df.repartition(7), "k", "key", start=1)
     expected = {k: i + 1 for i, k in enumerate(sorted(r["k"] for r in df.collect()))}
