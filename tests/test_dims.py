@@ -95,7 +95,7 @@ def test_dim_user_rerun_keeps_one_unknown(spark):
 def test_dim_influencer_json(spark):
     raw = spark.createDataFrame(
         [
-            ("i1", "r1", '{"handle":" @Buzz","reach":5000}'),
+            ("i1", "r1", '{"handle":" @Shop","reach":5000}'),
             ("i2", "r2", '{"handle":"x","reach":"5000","rate":1}'),
             ("i3", "r3", '{"reach":5.5}'),
             ("i4", "r4", "not json"),
@@ -105,7 +105,7 @@ def test_dim_influencer_json(spark):
         "inf_id string, ref_code string, metadata string",
     )
     assert [tuple(r) for r in dims.dim_influencer(raw).orderBy("inf_id").collect()] == [
-        (1, "i1", "@buzz", 5000, None, "r1"),
+        (1, "i1", "@shop", 5000, None, "r1"),
         (2, "i2", "x", None, 1.0, "r2"),
         (3, "i3", None, None, None, "r3"),
         (4, "i4", None, None, None, "r4"),

@@ -118,7 +118,7 @@ CTES: dict[str, str] = {
                           from campaigns_src)))
         where pick = 1""",
     "product_names": "select product_name, min(product_key) as product_key from dim_product group by product_name",
-    "sales_silver": """
+    "sales_conformed": """
         select s.sale_id, s.date_key, coalesce(u.user_key, 0) as user_key, p.product_key, s.usd as amount
         from sales_clean s
         left join (select user_id, min(user_key) as user_key from dim_user group by user_id) u
@@ -126,7 +126,7 @@ CTES: dict[str, str] = {
         left join product_names p on trim(s.product_name) = p.product_name""",
     "sales_fact": """
         select sale_id, date_key, user_key, coalesce(product_key, -1) as product_key, amount
-        from sales_silver where date_key is not null""",
+        from sales_conformed where date_key is not null""",
     **{k: v for k, v in _spend_ctes("spend", "daily_ad_spend").items() if k in ("spend_daily", "spend_fact")},
     **_spend_ctes("event", "event_spend"),
     **_spend_ctes("fixed", "daily_ad_spend", "'2.5'"),
@@ -304,10 +304,10 @@ def _fk(fact: str, column: str, dim: str) -> str:
 
 ORACLE["fk_report"] = _sql(
     " union all ".join(
-        _fk("sales_silver", c, d)
+        _fk("sales_conformed", c, d)
         for c, d in (("date_key", "dim_date"), ("user_key", "dim_user"), ("product_key", "dim_product"))
     ),
-    "sales_silver",
+    "sales_conformed",
     "dim_date",
 )
 ORACLE["fk_report_spend"] = _sql(
@@ -341,7 +341,7 @@ ORACLE["quality_report"] = _sql(
             ),
             _checks(
                 "fact_sales",
-                "sales_silver",
+                "sales_conformed",
                 rows="count(*)",
                 null_date_key=_where("date_key is null"),
                 null_user_key=_where("user_key is null"),
@@ -368,7 +368,7 @@ ORACLE["quality_report"] = _sql(
             ),
         ]
     ),
-    "sales_silver",
+    "sales_conformed",
     "spend_fact",
 )
 ORACLE["rejects_by_reason"] = _sql(
