@@ -8,6 +8,7 @@ import pytest
 
 from roastery import schemas
 from roastery.operators import upsert as up
+from roastery.plans.lakehouse import Layout, read_sales, with_sales_partition
 from roastery.sources import export, raw
 from roastery.storage import (
     materialize,
@@ -178,3 +179,17 @@ def test_jdbc_options_pass_the_connection_through():
     assert options["dbtable"] == "mart.dim_user"
     assert (options["url"], options["batchsize"], options["numPartitions"]) == ("jdbc:x", "500", "4")
     assert options["truncate"] == "true"
+
+
+@pytest.mark.parametrize("partition", ["month_key", "date_key"])
+def test_sales_of_touched_days_open_only_their_partitions(spark, tmp_path, partition):
+    layout = Layout(str(tmp_path), sales_partition=partition)
+    sales = _sales(spark, ("a", 20260101, "1"), ("b", 20260102, "2"), ("c", 20260201, "3"))
+    path = layout.serving("fact_sales")
+    write_table(with_sales_partition(sales), path, layout.sales_partition, "date_key")
+    assert rows(read_sales(spark, layout)) == rows(sales)
+    touched = read_sales(spark, layout, [20260102])
+    assert [r["sale_id"] for r in touched.collect()] == ["b"]
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert partition in filters
