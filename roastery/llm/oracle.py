@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from roastery.llm.sharding import KEY, PRIME, SHARDS, round_keys
+
 WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 OP1 = rf"""
@@ -33,7 +35,42 @@ select w.doc_id, coalesce(n.n, 0)::bigint as n_shingles, component_id, w.doc_id
 from w left join n using (doc_id) join comp on node = w.doc_id
 """
 
+def _feistel_round(keys: tuple[int, int]) -> str:
+    scrambled = f"((((low % {PRIME}) + {keys[0]}) % {PRIME}) * (((low % {PRIME}) + {keys[1]}) % {PRIME}) % {PRIME}) & mask"
+    return f"select r, n, bits, mask, low as high, xor(high, {scrambled}) as low from"
+
+
+def _feistel() -> str:
+    """One pass of the network over the rows that still walk."""
+    inner = "(select r, n, bits, mask, x >> bits as high, x & mask as low from walk where x >= n or step = 0)"
+    for keys in round_keys(KEY):
+        inner = f"({_feistel_round(keys)} {inner})"
+    return inner
+
+
+# Fixed value: the reversed polynomial of the usual CRC-32.
+_CRC_TABLE = "list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, step: xor(c >> 1, 3988292384 * (c & 1))))"
+_BYTES = "list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::bigint)"
+
+OP6 = rf"""
+with recursive crc as (select {_CRC_TABLE} as entry),
+     sized as (
+       select doc_id, (strlen(coalesce(text, '')) + 16)::bigint as size, text,
+              row_number() over (order by doc_id) - 1 as r, count(*) over () as n from documents),
+     half as (select greatest(1, ceil(ceil(log2(greatest(count(*), 2))) / 2))::bigint as b from documents),
+     walk as (
+       select r, n, b as bits, (1::bigint << b) - 1 as mask, r as x, 0 as step from sized, half
+       union all
+       select r, n, bits, mask, (high << bits) | low, 1 from {_feistel()}),
+     moved as (select r, x from walk where step = 1 and x < n)
+select doc_id, size,
+       xor(list_reduce(list_prepend(4294967295::bigint, {_BYTES}), lambda c, b: xor(c >> 8, entry[(xor(c, b) & 255) + 1])), 4294967295)::bigint as text_crc32,
+       'rows' as law, (x % {SHARDS})::int as shard, (x // {SHARDS})::bigint as slot, null::int as grown_shard
+from sized join moved using (r), crc
+"""
+
 ORACLE = {
     "op1_substring_dedup": OP1,
     "op2_minhash_dedup": OP2,
+    "op6_sharding": OP6,
 }

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roastery.llm import minhash_dedup, substring_dedup
+from roastery.llm import bpe, minhash_dedup, sharding, substring_dedup
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,7 +26,20 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op3_bpe_encode(spark: SparkSession, sf_dir: str, tokenizer: str = TOKENIZER) -> DataFrame:
+    """Token ids of every text and what they decode to, as digests."""
+    found = bpe.encode(_table(spark, sf_dir, "documents"), tokenizer, decoded=True)
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return sharding.assign(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op3_bpe_encode": op3_bpe_encode,
+    "op6_sharding": op6_sharding,
 }

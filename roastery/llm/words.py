@@ -15,8 +15,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 20
-_SEPARATOR = np.zeros(256, bool)
-_SEPARATOR[[32, *range(9, 14)]] = True
+#: Bytes between words: space and the ASCII white space.
+SPACES = np.zeros(256, bool)
+SPACES[[32, *range(9, 14)]] = True
+#: Every ASCII byte that is neither letter nor digit.
+MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 #: Odd bases of the byte polynomials, one per lane, each with its inverse modulo 2**64.
 _BASES = [0x9E3779B97F4A7C15 | 5, 0xC2B2AE3D27D4EB4D | 5]
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -73,18 +76,26 @@ class Words:
 
     def hashes(self, lane: int = 0) -> np.ndarray:
         """One number per word, equal for equal words."""
+        return self.prefixes([len(self.data)], lane)[0]
+
+    def prefixes(self, lengths: list[int], lane: int = 0) -> list[np.ndarray]:
+        """For each length, one number per word for its first so many bytes (or the whole word)."""
         power, inverse = _powers_of(lane, max(1, len(self.data)))
         sums = np.zeros(len(self.data) + 1, np.uint64)
         np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power[: len(self.data)], out=sums[1:])
-        h = (sums[self.ends] - sums[self.starts]) * inverse[: max(1, len(self.data))][self.starts]
-        return mix(h + (self.ends - self.starts).astype(np.uint64))
+        back = inverse[: max(1, len(self.data))][self.starts]
+        out = []
+        for length in lengths:
+            ends = np.minimum(self.ends, self.starts + length)
+            out.append(mix((sums[ends] - sums[self.starts]) * back + (ends - self.starts).astype(np.uint64)))
+        return out
 
     def text_bytes(self, i: int) -> bytes:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()
 
 
-def split(texts: pa.Array, lower: bool = False) -> Words:
-    """Words of ``texts`` (NULL: none); ``lower`` turns A-Z into a-z first."""
+def split(texts: pa.Array, lower: bool = False, between: np.ndarray = SPACES) -> Words:
+    """Words of ``texts`` (NULL: none); ``lower`` turns A-Z into a-z first, ``between`` marks the bytes outside words."""
     texts = pc.fill_null(texts.cast(pa.string()), "")
     if len(texts) == 0:
         empty = np.zeros(0, np.int64)
@@ -95,7 +106,7 @@ def split(texts: pa.Array, lower: bool = False) -> Words:
     offsets = offsets - offsets[0]
     if lower:
         data = np.where((data >= 65) & (data <= 90), data | 32, data).astype(np.uint8)
-    inside = ~_SEPARATOR[data]
+    inside = ~between[data]
     full = offsets[1:] > offsets[:-1]
     before = np.zeros(len(data), bool)
     before[1:] = inside[:-1]
