@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roastery.llm import bpe, minhash_dedup, sharding, substring_dedup
+from roastery.llm import bpe, minhash_dedup, quality_classifier, sharding, substring_dedup, toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -37,9 +37,22 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document and its offending spans, as ``start:end`` joined by commas."""
+    found = toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.withColumn("spans", F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_bpe_encode": op3_bpe_encode,
     "op6_sharding": op6_sharding,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op9_toxicity": op9_toxicity,
 }
