@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from roastery.llm.quality_rules import LEAST_LEFT, LEAST_WORDS, LINE_DOCUMENTS, LINE_SHARE, MOST_REPEATED
+from roastery.llm.secret_scan import BASE, RULES
 from roastery.llm.sharding import KEY, PRIME, SHARDS, round_keys
 
 WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -69,8 +71,58 @@ select doc_id, size,
 from sized join moved using (r), crc
 """
 
+def _spans(rule) -> str:
+    """Spans of one rule: the texts between matches and the matches alternate, so their lengths add up to places."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+select doc_id, '{rule.kind}' as kind, {[r.kind for r in RULES].index(rule.kind)} as rk, e - length(m) as s, e
+from (select doc_id, i, m, g, sum(length(b) + length(m)) over (partition by doc_id order by i) as e
+      from (select doc_id, unnest(range(len(ms))) as i, unnest(ms) as m, unnest(gs) as g, unnest(bs[:len(ms)]) as b
+            from (select doc_id, regexp_extract_all(text, '{pattern}') as ms, regexp_extract_all(text, '{pattern}', {rule.group}) as gs,
+                         string_split_regex(text, '{pattern}') as bs from documents where text is not null)))
+where length(g) >= {rule.least}"""
+
+
+_JOINED = "coalesce(string_agg(kind || ':' || s::bigint || ':' || e::bigint, ',' order by s, rk){}, '')"
+_BASE_KINDS = ", ".join(f"'{r.kind}'" for r in BASE)
+OP8 = rf"""
+with spans as ({" union all ".join(_spans(r) for r in RULES)})
+select doc_id, {", ".join(f"count(*) filter (where kind = '{r.kind}') as n_{r.kind}" for r in BASE)},
+       sha256({_JOINED.format(f" filter (where kind in ({_BASE_KINDS}))")}) as base_sha256, {_JOINED.format("")} as spans
+from documents left join spans using (doc_id) group by doc_id
+"""
+
+_NORMAL = r"lower(trim(regexp_replace({}, '[\x20\x09-\x0D]+', ' ', 'g'), ' '))"
+_HAS_WORD = r"regexp_matches({}, '[^\x20\x09-\x0D]')"
+
+OP10 = rf"""
+with w as (select doc_id, coalesce(source, chr(1)) as host, coalesce(text, '') as text, {WORDS} as ws from documents),
+     l as (select doc_id, host, x, {_NORMAL.format("x")} as norm from (select doc_id, host, unnest(string_split(text, chr(10))) as x from w)
+           where {_HAS_WORD.format("x")}),
+     hosts as (select host, count(*) as docs from w group by host),
+     often as (select host, norm from (select host, norm, count(distinct doc_id) as n from l group by host, norm) join hosts using (host)
+               where n > {LINE_DOCUMENTS} and n > {LINE_SHARE}::double * docs),
+     lines as (select doc_id, count(*) - count(distinct x) as dup,
+                      sum(case when often.norm is null then 0 else len(list_filter(string_split_regex(x, '[ 	-]+'), lambda t: t <> '')) end) as often
+               from l left join often using (host, norm) group by doc_id),
+     win as (select doc_id, s, array_to_string(ws[s:s + 7], ' ') as k
+             from (select doc_id, ws, unnest(range(1, len(ws) - 6)) as s from w where len(ws) >= 8)),
+     twice as (select doc_id, k from win group by doc_id, k having count(*) > 1),
+     again as (select doc_id, count(distinct i) as c from (select doc_id, unnest(range(s, s + 8)) as i from win semi join twice using (doc_id, k)) group by doc_id),
+     m as (select doc_id, len(ws)::bigint as n_words, length(array_to_string(ws, ''))::bigint as word_chars,
+                  (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
+                  coalesce(dup, 0)::bigint as n_dup_lines, coalesce(c, 0)::bigint as n_repeat_words, coalesce(often, 0)::bigint as n_frequent_words
+           from w left join lines using (doc_id) left join again using (doc_id)),
+     f as (select *, n_words < {LEAST_WORDS} or 100 * n_repeat_words > {MOST_REPEATED} * n_words as base_failed from m)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and 100 * (n_words - n_frequent_words) >= {LEAST_LEFT} * n_words as kept, n_frequent_words
+from f
+"""
+
 ORACLE = {
     "op1_substring_dedup": OP1,
     "op2_minhash_dedup": OP2,
     "op6_sharding": OP6,
+    "op8_secret_scan": OP8,
+    "op10_quality_rules": OP10,
 }

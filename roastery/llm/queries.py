@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roastery.llm import bpe, minhash_dedup, quality_classifier, sharding, substring_dedup, toxicity
+from roastery.llm import bpe, minhash_dedup, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -42,17 +42,38 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of secrets in every document."""
+    found = secret_scan.scan(_table(spark, sf_dir, "documents"))
+    base = [rule.kind for rule in secret_scan.BASE]
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in base],
+        F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document and its offending spans, as ``start:end`` joined by commas."""
     found = toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return found.withColumn("spans", F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of the quality rules on every document."""
+    return quality_rules.apply_rules(_table(spark, sf_dir, "documents")).drop("text")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_bpe_encode": op3_bpe_encode,
     "op6_sharding": op6_sharding,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_secret_scan": op8_secret_scan,
     "op9_toxicity": op9_toxicity,
+    "op10_quality_rules": op10_quality_rules,
 }
