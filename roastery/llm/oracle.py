@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from roastery.llm.decontaminate import AGREE, MASKS, RUN
+from roastery.llm.line_dedup import BASE as CHUNK_BASE
+from roastery.llm.line_dedup import DIVISOR, ROLL
+from roastery.llm.line_dedup import PRIME as CHUNK_PRIME
 from roastery.llm.quality_rules import LEAST_LEFT, LEAST_WORDS, LINE_DOCUMENTS, LINE_SHARE, MOST_REPEATED
 from roastery.llm.secret_scan import BASE, RULES
 from roastery.llm.sharding import KEY, PRIME, SHARDS, round_keys
@@ -50,6 +54,62 @@ def _feistel() -> str:
     return inner
 
 
+_NUMBER = "(('0x' || substr(md5(l), 1, 8))::bigint % {p})".format(p=CHUNK_PRIME)
+
+
+def _rolled() -> str:
+    out = "0::bigint"
+    for back in range(ROLL - 1, -1, -1):
+        value = "n" if not back else f"coalesce(lag(n, {back}) over (partition by doc_id order by i), 0)"
+        out = f"(({out} * {CHUNK_BASE} + {value}) % {CHUNK_PRIME})"
+    return out
+
+
+OP4 = rf"""
+with l as (select doc_id, unnest(range(len(ls))) as i, unnest(ls) as l from (select doc_id, string_split(text, chr(10)) as ls from documents)),
+     r as (select doc_id, i, l, {_rolled()} % {DIVISOR} = 0 as cut from (select *, {_NUMBER} as n from l)),
+     c as (select doc_id, i, l, coalesce(sum(cut::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as place from r),
+     chunks as (select doc_id, place, string_agg(l, chr(10) order by i) as chunk, count(*) as size from c group by 1, 2),
+     first as (select chunk, min({{'d': doc_id, 'p': place}}) as f from chunks
+               where size > 1 and regexp_matches(chunk, '[^\x20\x09-\x0D]') group by chunk),
+     judged as (select doc_id, place, chunk, f is not null and f <> {{'d': doc_id, 'p': place}} as gone from chunks left join first using (chunk))
+select doc_id, count(*) filter (where gone) as n_chunks_removed,
+       sha256(coalesce(string_agg(chunk, chr(10) order by place) filter (where not gone), '')) as text_sha256
+from judged group by doc_id
+union all select doc_id, 0, null from documents where text is null
+"""
+
+
+def _masked(ws: str, mask: str) -> str:
+    """The kept words of a stretch from place p on, as one text."""
+    return " || ' ' || ".join(f"{ws}[p + {i + 1}]" for i, c in enumerate(mask) if c == "1")
+
+
+def _seeds(table: str, key: str, ws: str) -> str:
+    return " union all ".join(
+        f"select {key}, p, '{m}' as mask, {_masked(ws, m)} as seed from (select {key}, {ws}, unnest(range(len({ws}) - {len(m) - 1})) as p "
+        f"from {table} where len({ws}) >= {len(m)})"
+        for m in MASKS
+    )
+
+
+_TOKENS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+OP5 = rf"""
+with d as (select doc_id, {_TOKENS} as ws from documents),
+     b as (select distinct item_id, {_TOKENS} as item from benchmark),
+     ds as ({_seeds("d", "doc_id", "ws")}),
+     bs as ({_seeds("b", "item_id", "item")}),
+     hits as (select distinct doc_id, item_id, ds.p - bs.p as shift from ds join bs using (mask, seed)),
+     runs as (select doc_id, item_id, shift, ws, item, unnest(range(len(item) - least(len(item), {RUN}) + 1)) as o
+              from hits join d using (doc_id) join b using (item_id)),
+     agree as (select doc_id, item_id, o + shift as doc_start, least(len(item), {RUN}) as n_run,
+                      len(list_filter(range(least(len(item), {RUN})), lambda j: o + shift + j >= 0 and ws[o + shift + j + 1] = item[o + j + 1])) as n_agree
+               from runs)
+select doc_id, item_id, max(n_agree)::bigint as n_agree, max(n_run)::bigint as n_run,
+       (arg_max(doc_start, n_agree * 1000000000 - doc_start))::bigint as doc_start
+from agree where 100 * n_agree >= {AGREE} * n_run group by doc_id, item_id
+"""
+
 # Fixed value: the reversed polynomial of the usual CRC-32.
 _CRC_TABLE = "list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, step: xor(c >> 1, 3988292384 * (c & 1))))"
 _BYTES = "list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::bigint)"
@@ -103,7 +163,8 @@ with w as (select doc_id, coalesce(source, chr(1)) as host, coalesce(text, '') a
      often as (select host, norm from (select host, norm, count(distinct doc_id) as n from l group by host, norm) join hosts using (host)
                where n > {LINE_DOCUMENTS} and n > {LINE_SHARE}::double * docs),
      lines as (select doc_id, count(*) - count(distinct x) as dup,
-                      sum(case when often.norm is null then 0 else len(list_filter(string_split_regex(x, '[ 	-]+'), lambda t: t <> '')) end) as often
+                      sum(case when often.norm is null then 0 else len(list_filter(string_split_regex(x, '[ 	-
+]+'), lambda t: t <> '')) end) as often
                from l left join often using (host, norm) group by doc_id),
      win as (select doc_id, s, array_to_string(ws[s:s + 7], ' ') as k
              from (select doc_id, ws, unnest(range(1, len(ws) - 6)) as s from w where len(ws) >= 8)),
@@ -122,6 +183,8 @@ from f
 ORACLE = {
     "op1_substring_dedup": OP1,
     "op2_minhash_dedup": OP2,
+    "op4_line_dedup": OP4,
+    "op5_decontaminate": OP5,
     "op6_sharding": OP6,
     "op8_secret_scan": OP8,
     "op10_quality_rules": OP10,

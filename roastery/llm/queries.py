@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roastery.llm import bpe, minhash_dedup, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, toxicity
+from roastery.llm import bpe, decontaminate, line_dedup, minhash_dedup, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -32,6 +32,17 @@ def op3_bpe_encode(spark: SparkSession, sf_dir: str, tokenizer: str = TOKENIZER)
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated runs of lines."""
+    found = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), F.col("n_chunks_removed").cast("long").alias("n_chunks_removed"), F.sha2("text", 256).alias("text_sha256"))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents overlap with."""
+    return decontaminate.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     return sharding.assign(_table(spark, sf_dir, "documents"))
@@ -71,6 +82,8 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_bpe_encode": op3_bpe_encode,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_decontaminate": op5_decontaminate,
     "op6_sharding": op6_sharding,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_secret_scan": op8_secret_scan,

@@ -320,3 +320,18 @@ def toxicity(
         (F.col("score") >= threshold).cast("int").alias("predicted"),
         "spans",
     )
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = THRESHOLD, modulus: int = MODULUS, remainder: int = HELD_OUT) -> DataFrame:
+    """``docs`` without the rows that ``toxicity`` predicts toxic; all columns stay, whatever their names."""
+    field = docs.sparkSession.sparkContext.broadcast(fit(training_sample(docs, labels, label, modulus, remainder)))
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    text = names[docs.columns.index("text")]
+
+    def calm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in W.chunks(batch, text):
+                yield part.filter(pa.array(field.value.score(*field.value.tag(part.column(text))) < threshold))
+
+    numbered = docs.toDF(*names)
+    return numbered.mapInArrow(calm, numbered.schema).toDF(*docs.columns)
