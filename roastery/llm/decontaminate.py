@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roastery.llm.native import LAST, let, sized, words
+from roastery.storage import materialize
 
 #: Kept and ignored places; one word replaced anywhere in nine leaves one of the two untouched more often than not.
 MASKS = ("11011001", "10010111")
@@ -74,6 +75,7 @@ def overlaps(
     cut = own.select("id", tokens(F.col("text")).alias("words"))
     offered = cut.select("id", F.explode(_seeds(F.col("words"), [*masks, *whole])).alias("s")).select("id", "s.place", "s.h")
     hits = offered.join(sized(asked, _SEEDS), "h").select("id", "item_id", (F.col("place") - F.col("item_place")).alias("shift")).distinct()
+    hits = materialize(hits, "hits")  # used three times, and the scan behind it is the work
     lines = hits.groupBy("id", "item_id").agg(F.collect_set("shift").alias("shifts")).join(sized(items), "item_id")
     texts = own.join(sized(hits.select("id").distinct()), "id", "left_semi").select("id", tokens(F.col("text")).alias("words"))
     width = F.least(F.size("item"), F.lit(run))
