@@ -7,8 +7,10 @@
 3. Classes that share a band key are candidates.  In each key one member, the
    head, is compared with the others, so work is linear in the members; keys
    whose members are already one component are done, the head leaves the rest,
-   and the next round goes on with what is mixed.  When few pairs of different
-   components are left, they are compared directly, so no link is passed over.
+   and the next round goes on with what is mixed.  After the first round, members
+   that share too few shingles with all others are ruled out.  When few pairs
+   of different components are left, they are compared directly, so no link is
+   passed over.
 4. A comparison first counts equal packed minima (bit counts, corrected for the
    chance agreement of low bits), far enough below the limit that a true link
    does not fail it, and then confirms on the full sets.
@@ -37,8 +39,9 @@ SIMILARITY = (80, 100)
 BANDS = 32  # a pair at 0.8 shares no band key with probability (1 - 0.8 ** 4) ** 32, 5e-8
 ROWS = 4
 BITS = 2
-SIGMAS = 6  # how far below the expected agreement the estimate may lie
-HEAD_ROUNDS = 6
+FUNCTIONS = 512  # minima whose low bits are kept; the first BANDS * ROWS make the band keys
+SIGMAS = 5  # how far below the expected agreement the estimate of a link may lie: 3e-7 of links at the limit
+HEAD_ROUNDS = 2
 FEW_PAIRS = 4  # per member, compared directly
 BROADCAST_ROWS = 1_000_000  # of one long
 LAST = 2**63 - 1
@@ -75,8 +78,8 @@ def packed(low: np.ndarray, bits: int) -> np.ndarray:
     return np.bitwise_or.reduce((low & np.uint64((1 << bits) - 1)).reshape(-1, per) << shifts, axis=1)
 
 
-def _sign(shingle: int, bands: int, rows: int, bits: int):
-    functions = W.constants(bands * rows, 71)
+def _sign(shingle: int, bands: int, rows: int, bits: int, kept: int):
+    functions = W.constants(kept, 71)
     factors = W.constants(rows, 73)
     salts = W.constants(bands, 79)
 
@@ -90,7 +93,7 @@ def _sign(shingle: int, bands: int, rows: int, bits: int):
                     two.append(int(W.mix(found ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64)) if len(found) else 0)
                     if len(found):
                         low = minima(found, functions)
-                        key = W.mix((low.reshape(bands, rows) * factors).sum(axis=1, dtype=np.uint64) + salts)
+                        key = W.mix((low[: bands * rows].reshape(bands, rows) * factors).sum(axis=1, dtype=np.uint64) + salts)
                         keys.append(key.view(np.int64))
                         sigs.append(packed(low, bits).view(np.int64))
                     else:
@@ -166,6 +169,33 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(ids) if few else ids, "id", "left_semi")
 
 
+def _linkable(rest: DataFrame, involved: DataFrame, shingle: int, similarity: tuple[int, int]) -> DataFrame:
+    """``rest`` with ``m``, the shingles of a member that any other member has too, and without members that cannot have a link left.
+
+    A shingle no other member has is in no intersection.  So a copy with many changes
+    of its own is ruled out by itself, and a large group of such copies needs no
+    comparison of all its pairs.
+    """
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in W.chunks(batch, "text"):
+                sets = shingle_sets(part.column("text"), shingle)
+                ids = np.repeat(part.column("id").to_numpy(zero_copy_only=False), [len(s) for s in sets])
+                hashes = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes.view(np.int64), pa.int64())], ["id", "h"])
+
+    members = rest.select(F.col("rep").alias("id")).distinct()
+    held = _only(involved.select("id", "text"), members).mapInArrow(shingles, "id long, h long")
+    alone = held.groupBy("h").agg(F.min("id").alias("id"), F.max("id").alias("other")).where("id = other")
+    own = alone.groupBy("id").agg(F.count(F.lit(1)).alias("u"))
+    counted = rest.join(own.withColumnRenamed("id", "rep"), "rep", "left").withColumn("m", F.col("n") - F.coalesce("u", F.lit(0))).drop("u")
+    least = counted.groupBy("k").agg(F.min("n").alias("least_n"))
+    # The best a member can reach in a key: all m shared, with the smallest partner that holds them.
+    may = similarity[1] * F.col("m") >= similarity[0] * (F.col("n") + F.greatest("least_n", "m") - F.col("m"))
+    return counted.join(least, "k").where(may).drop("least_n")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -175,6 +205,7 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
     bits: int = BITS,
+    functions: int = FUNCTIONS,
 ) -> DataFrame:
     """Per document: ``doc_id, n_shingles, component_id, kept``.
 
@@ -187,11 +218,11 @@ def near_duplicates(
     of only such rows has a NULL ``component_id`` and keeps all its rows.  Other
     columns of ``docs`` are not read, whatever their names.
     """
-    functions, longs = bands * rows, bands * rows * bits // 64
+    longs = functions * bits // 64
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)).alias("id"), F.col(text_column).alias("text"))
     signed = materialize(
-        texts.mapInArrow(_sign(shingle, bands, rows, bits), "id long, n long, d1 long, d2 long, bands array<long>, bits array<long>"),
+        texts.mapInArrow(_sign(shingle, bands, rows, bits, functions), "id long, n long, d1 long, d2 long, bands array<long>, bits array<long>"),
         "signatures",
     )
     classes = signed.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
@@ -209,45 +240,53 @@ def near_duplicates(
     signs = involved.select("id", "n", "bits")
     enough = least_agreement(similarity[0] / similarity[1], functions, bits)
 
-    def close(a: str, b: str) -> Column:
-        sizes = similarity[1] * F.least(f"{a}.n", f"{b}.n") >= similarity[0] * F.greatest(f"{a}.n", f"{b}.n")
-        return sizes & (agreement(F.col(f"{a}.bits"), F.col(f"{b}.bits"), longs, bits) >= enough)
-
     def confirmed(pairs: DataFrame) -> DataFrame:
-        likely = (
-            pairs.join(signs.alias("sa"), F.col("a") == F.col("sa.id"))
-            .join(signs.alias("sb"), (F.col("b") == F.col("sb.id")) & close("sa", "sb"))
-            .select("a", "b")
-            .distinct()
-        )
-        likely = materialize(likely, "likely")
+        likely = materialize(pairs.distinct(), "likely")
         with_b = likely.join(involved.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
         with_both = with_b.join(involved.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-        return materialize(with_both.mapInArrow(_confirm(shingle, similarity), "a long, b long"), "confirmed")
+        return with_both.mapInArrow(_confirm(shingle, similarity), "a long, b long")
+
+    def possible(x: str, y: str) -> Column:
+        """Whether two members of a key may be linked: other components, sizes, shared shingles and packed minima."""
+        common = F.least(F.col(f"{x}.m"), F.col(f"{y}.m"))
+        by_sets = similarity[1] * common >= similarity[0] * (F.col(f"{x}.n") + F.col(f"{y}.n") - common)
+        agree = agreement(F.col(f"{x}.bits"), F.col(f"{y}.bits"), longs, bits)
+        return (F.col(f"{x}.c") != F.col(f"{y}.c")) & by_sets & (agree >= enough)
+
+    def mixed(members: DataFrame) -> DataFrame:
+        """Members of keys with more than one component."""
+        several = members.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("k")
+        return members.join(several, "k", "left_semi")
 
     found = spark.createDataFrame([], "node long, component long")
-    rest = shared
+    rest = shared.join(signs, F.col("rep") == F.col("id")).select("k", "rep", "n", F.col("n").alias("m"), "bits")
     for turn in range(HEAD_ROUNDS + 1):
-        labelled = rest.join(found, rest["rep"] == found["node"], "left").select("k", "rep", F.coalesce("component", "rep").alias("c"))
-        mixed = labelled.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("k")
-        rest = materialize(labelled.join(mixed, "k"), "mixed")
+        labelled = rest.join(found, F.col("rep") == F.col("node"), "left").select("k", "rep", "n", "m", "bits", F.coalesce("component", "rep").alias("c"))
+        rest = materialize(mixed(labelled), "mixed")
+        if turn == 1:
+            rest = materialize(mixed(_linkable(rest, involved, shingle, similarity)), "linkable")
         sizes = rest.groupBy("k", "c").agg(F.count(F.lit(1)).alias("s")).groupBy("k").agg(F.sum("s").alias("s"), F.sum(F.col("s") * F.col("s")).alias("q"))
         members, pairs_left = sizes.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
         if not members:
             break
-        direct = turn == HEAD_ROUNDS or pairs_left <= FEW_PAIRS * members
+        direct = turn == HEAD_ROUNDS or (turn and pairs_left <= FEW_PAIRS * members)
         if direct:
-            known = rest.join(signs, F.col("rep") == F.col("id")).select("k", "rep", "c", "n", "bits")
-            left, right = known.alias("x"), known.alias("y")
-            pairs = left.join(right, (F.col("x.k") == F.col("y.k")) & (F.col("x.c") < F.col("y.c")) & close("x", "y"))
-            pairs = pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+            # A pair counts in the first key it shares only, so it comes once however many it shares.
+            known = rest.join(classes.select("rep", "bands").join(rest.select("rep").distinct(), "rep", "left_semi"), "rep")
+            same = F.zip_with("x.bands", "y.bands", lambda p, q: F.when(p == q, p))
+            first = F.get(F.filter(same, lambda p: p.isNotNull()), F.lit(0)) == F.col("x.k")
+            of_key = (F.col("x.k") == F.col("y.k")) & (F.col("x.rep") < F.col("y.rep"))
+            pairs = known.alias("x").join(known.alias("y"), of_key & possible("x", "y") & first)
+            pairs = pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
         else:
-            heads = rest.groupBy("k").agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("o"), F.col("rep").alias("a"), F.col("c").alias("ca"))).alias("h"))
-            with_head = rest.join(heads.select("k", "h.a", "h.ca"), "k")
-            pairs = with_head.where("c <> ca").select("a", F.col("rep").alias("b")).distinct()
-            rest = with_head.where("rep <> a").select("k", "rep")
-        links = confirmed(pairs)
-        found = materialize(components(links.unionAll(found.select(F.col("node").alias("a"), F.col("component").alias("b")))), "components")
+            order = F.struct(F.xxhash64("rep", F.lit(turn)).alias("o"), "rep", "c", "n", "m", "bits")
+            heads = rest.groupBy("k").agg(F.min(order).alias("h")).select("k", "h.*")
+            pairs = rest.alias("x").join(heads.alias("y"), (F.col("x.k") == F.col("y.k")) & possible("x", "y"))
+            pairs = pairs.select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"))
+            gone = heads.select("k", F.col("rep").alias("head"))
+            rest = rest.join(gone, "k").where("rep <> head").select("k", "rep", "n", "m", "bits")
+        known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = components(confirmed(pairs).unionAll(known))
         if direct:
             break
 
