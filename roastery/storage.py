@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextvars
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -15,6 +16,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: How long a replaced snapshot stays for readers that still have it open.
+KEEP_HOURS = 24.0
 _local_scratch: dict[str, str] = {}
 _scope: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch_scope", default=None)
 Result = TypeVar("Result")
@@ -152,18 +155,30 @@ def snapshots(spark: SparkSession, path: str) -> list[str]:
     return [n for n in names if table_exists(spark, f"{path}/{n}")]
 
 
-def write_snapshot(df: DataFrame, path: str, keep: int = 5) -> int:
+def completed_at(spark: SparkSession, path: str) -> float:
+    """When a complete table got its commit marker, in seconds."""
+    filesystem, marker = filesystem_of(spark, f"{path}/_SUCCESS")
+    return filesystem.getFileStatus(marker).getModificationTime() / 1000
+
+
+def write_snapshot(df: DataFrame, path: str, keep_hours: float = KEEP_HOURS) -> int:
     """Write a small table as its next snapshot; returns its rows.
 
     Readers go on with the snapshot they have until this one is complete, so a
     frame may be computed from the very table it is written to, and a run that
-    dies leaves the table as it was.  The ``keep`` latest snapshots stay.
+    dies leaves the table as it was.  A snapshot goes only ``keep_hours`` after
+    the next one replaced it, however many follow, so ``keep_hours`` has to exceed
+    the longest report; frames and views show the table as of when they were opened.
     """
     spark = df.sparkSession
     taken = [n for n in list_folder(spark, path) if n.startswith("snapshot-")] if path_exists(spark, path) else []
     number = int(taken[-1].removeprefix("snapshot-")) + 1 if taken else 1
     rows = write_table(df.hint("rebalance"), f"{path}/snapshot-{number:012d}")
-    for old in snapshots(spark, path)[:-keep]:
+    complete = snapshots(spark, path)
+    oldest_kept = time.time() - 3600 * keep_hours
+    for old, successor in zip(complete, complete[1:]):
+        if completed_at(spark, f"{path}/{successor}") >= oldest_kept:
+            break
         delete_folder(spark, f"{path}/{old}")
     return rows
 

@@ -128,7 +128,7 @@ def test_snapshots_merge_and_skip_the_unfinished(spark, tmp_path):
     (tmp_path / "daily" / "snapshot-000000000099").mkdir()
     schema = daily((1, 1)).schema
     assert rows(read_snapshot(spark, path, schema)) == [(1, 10), (2, 25), (3, 30)]
-    assert len(snapshots(spark, path)) == 5
+    assert len(snapshots(spark, path)) > 5  # none goes by count
     assert write_snapshot(daily((9, 9)), path) == 1
     assert snapshots(spark, path)[-1] == "snapshot-000000000100"
     with pytest.raises(FileNotFoundError):
@@ -193,3 +193,23 @@ def test_sales_of_touched_days_open_only_their_partitions(spark, tmp_path, parti
     plan = touched._jdf.queryExecution().executedPlan().toString()
     filters = plan.split("PartitionFilters: [")[1].split("]")[0]
     assert partition in filters
+
+
+def test_readers_outlive_many_merges(spark, tmp_path):
+    path = str(tmp_path / "table")
+    frame = spark.createDataFrame([(0,)], "v int")
+    write_snapshot(frame, path)
+    opened = read_snapshot(spark, path, frame.schema)
+    opened.createOrReplaceTempView("opened_before")
+    for i in range(1, 9):
+        write_snapshot(spark.createDataFrame([(i,)], "v int"), path)
+    assert opened.collect() == [(0,)] and spark.sql("select v from opened_before").collect() == [(0,)]
+    assert read_snapshot(spark, path, frame.schema).collect() == [(8,)]
+
+
+def test_replaced_snapshots_go_by_age(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for i in range(4):
+        write_snapshot(spark.createDataFrame([(i,)], "v int"), path, keep_hours=1)
+    write_snapshot(spark.createDataFrame([(4,)], "v int"), path, keep_hours=-1)
+    assert snapshots(spark, path) == ["snapshot-000000000005"]
