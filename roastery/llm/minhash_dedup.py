@@ -8,12 +8,15 @@
    head, is compared with the others, so work is linear in the members; keys
    whose members are already one component are done, the head leaves the rest,
    and the next round goes on with what is mixed.  After the first round, members
-   that share too few shingles with all others are ruled out.  When few pairs
-   of different components are left, they are compared directly, so no link is
-   passed over.
+   that share too few shingles with all others are ruled out, and the members
+   with the fewest shingles of their own become the heads, several in a key:
+   what can be linked is most often linked with these.  When few pairs of different
+   components are left, they are compared directly, so no link is passed over.
 4. A comparison first counts equal packed minima (bit counts, corrected for the
    chance agreement of low bits), far enough below the limit that a true link
-   does not fail it, and then confirms on the full sets.
+   does not fail it, and then confirms on the full sets.  What is still mixed after
+   the first round gets eight times as many minima, so that fewer pairs below the
+   limit reach the full sets.
 
 Links within one component need no confirmation for the result, which is each
 document's component.
@@ -41,7 +44,9 @@ ROWS = 4
 BITS = 2
 FUNCTIONS = 512  # minima whose low bits are kept; the first BANDS * ROWS make the band keys
 SIGMAS = 5  # how far below the expected agreement the estimate of a link may lie: 3e-7 of links at the limit
+SHARPER = 4096  # minima of the members that are still mixed after the first round
 HEAD_ROUNDS = 2
+HEADS = 8  # of a key, from the second round on
 FEW_PAIRS = 4  # per member, compared directly
 BROADCAST_ROWS = 1_000_000  # of one long
 LAST = 2**63 - 1
@@ -129,6 +134,12 @@ def agreement(a: Column, b: Column, longs: int, bits: int) -> Column:
     return F.lit(longs * (64 // bits)) - total
 
 
+def long_agreement(a: Column, b: Column, bits: int) -> Column:
+    """The same for many longs, in a loop."""
+    each = F.zip_with(a, b, lambda p, q: agreement(F.array(p), F.array(q), 1, bits))
+    return F.aggregate(each, F.lit(0), lambda total, n: total + n)
+
+
 def corrected(agree: Column, functions: int, bits: int) -> Column:
     """Similarity from the agreement, without what low bits agree by chance."""
     chance = 2.0**-bits
@@ -141,6 +152,21 @@ def least_agreement(similarity: float, functions: int, bits: int, sigmas: float
     return functions * p - sigmas * math.sqrt(functions * p * (1 - p))
 
 
+def _sharpened(rest: DataFrame, involved: DataFrame, shingle: int, bits: int) -> DataFrame:
+    """``rest`` with ``long``, the low bits of ``SHARPER`` other minima."""
+    functions = W.constants(SHARPER, 83)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in W.chunks(batch, "text"):
+                signs = [packed(minima(found, functions), bits).view(np.int64) for found in shingle_sets(part.column("text"), shingle)]
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(signs, pa.list_(pa.int64()))], ["rep", "long"])
+
+    members = rest.select(F.col("rep").alias("id")).distinct()
+    signed = _only(involved.select("id", "text"), members).mapInArrow(sign, "rep long, long array<long>")
+    return rest.join(materialize(signed, "sharpened"), "rep")
+
+
 def _confirm(shingle: int, similarity: tuple[int, int]):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         @lru_cache(maxsize=8)
@@ -253,18 +279,25 @@ def near_duplicates(
         agree = agreement(F.col(f"{x}.bits"), F.col(f"{y}.bits"), longs, bits)
         return (F.col(f"{x}.c") != F.col(f"{y}.c")) & by_sets & (agree >= enough)
 
+    def sharply(x: str, y: str) -> Column:
+        """Whether the long signatures leave a link possible; true where there are none yet."""
+        agree = long_agreement(F.col(f"{x}.long"), F.col(f"{y}.long"), bits)
+        return F.coalesce(agree >= least_agreement(similarity[0] / similarity[1], SHARPER, bits), F.lit(True))
+
     def mixed(members: DataFrame) -> DataFrame:
         """Members of keys with more than one component."""
         several = members.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("k")
         return members.join(several, "k", "left_semi")
 
     found = spark.createDataFrame([], "node long, component long")
-    rest = shared.join(signs, F.col("rep") == F.col("id")).select("k", "rep", "n", F.col("n").alias("m"), "bits")
+    columns = ["k", "rep", "n", "m", "bits", "long"]
+    rest = shared.join(signs, F.col("rep") == F.col("id")).withColumns({"m": F.col("n"), "long": F.lit(None).cast("array<long>")}).select(columns)
     for turn in range(HEAD_ROUNDS + 1):
-        labelled = rest.join(found, F.col("rep") == F.col("node"), "left").select("k", "rep", "n", "m", "bits", F.coalesce("component", "rep").alias("c"))
+        labelled = rest.join(found, F.col("rep") == F.col("node"), "left").select(*columns, F.coalesce("component", "rep").alias("c"))
         rest = materialize(mixed(labelled), "mixed")
         if turn == 1:
             rest = materialize(mixed(_linkable(rest, involved, shingle, similarity)), "linkable")
+            rest = materialize(_sharpened(rest.drop("long"), involved, shingle, bits), "mixed")
         sizes = rest.groupBy("k", "c").agg(F.count(F.lit(1)).alias("s")).groupBy("k").agg(F.sum("s").alias("s"), F.sum(F.col("s") * F.col("s")).alias("q"))
         members, pairs_left = sizes.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
         if not members:
@@ -276,15 +309,16 @@ def near_duplicates(
             same = F.zip_with("x.bands", "y.bands", lambda p, q: F.when(p == q, p))
             first = F.get(F.filter(same, lambda p: p.isNotNull()), F.lit(0)) == F.col("x.k")
             of_key = (F.col("x.k") == F.col("y.k")) & (F.col("x.rep") < F.col("y.rep"))
-            pairs = known.alias("x").join(known.alias("y"), of_key & possible("x", "y") & first)
+            pairs = known.alias("x").join(known.alias("y"), of_key & possible("x", "y") & first & sharply("x", "y"))
             pairs = pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
         else:
-            order = F.struct(F.xxhash64("rep", F.lit(turn)).alias("o"), "rep", "c", "n", "m", "bits")
-            heads = rest.groupBy("k").agg(F.min(order).alias("h")).select("k", "h.*")
-            pairs = rest.alias("x").join(heads.alias("y"), (F.col("x.k") == F.col("y.k")) & possible("x", "y"))
+            # The smallest of each slot: few shingles of its own first, which are none before they are counted.
+            order = F.struct(((F.col("n") - F.col("m")) / F.col("n")).alias("own"), F.xxhash64("rep", F.lit(turn)).alias("o"), "rep", "c", "n", "m", "bits", "long")
+            slot = F.pmod(F.xxhash64("rep", F.lit(turn + HEAD_ROUNDS)), F.lit(HEADS if turn else 1))
+            heads = materialize(rest.groupBy("k", slot.alias("slot")).agg(F.min(order).alias("h")).select("k", "h.*"), "heads")
+            pairs = rest.alias("x").join(heads.alias("y"), (F.col("x.k") == F.col("y.k")) & possible("x", "y") & sharply("x", "y"))
             pairs = pairs.select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"))
-            gone = heads.select("k", F.col("rep").alias("head"))
-            rest = rest.join(gone, "k").where("rep <> head").select("k", "rep", "n", "m", "bits")
+            rest = rest.join(heads.select("k", "rep"), ["k", "rep"], "left_anti").select(columns)
         known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         found = components(confirmed(pairs).unionAll(known))
         if direct:
