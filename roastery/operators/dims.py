@@ -100,6 +100,19 @@ def calendar_dates(
     ]
 
 
+def new_days(days: DataFrame, known: DataFrame) -> DataFrame:
+    """Calendar rows of the dates in ``full_date`` that ``known`` lacks: those dates alone, no gaps filled."""
+    missing = days.where(F.col("full_date").isNotNull()).distinct()
+    return calendar_rows(missing.join(known.select("full_date"), "full_date", "left_anti"))
+
+
+def new_platforms(names: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of the canonical names in ``platform`` that ``known`` lacks, numbered after its largest key."""
+    present = names.where(F.col("platform").isNotNull()).distinct()
+    keyed = assign_keys(present, "platform", "platform_key", "int", known, few=True)
+    return schemas.conform(keyed.join(known.select("platform"), "platform", "left_anti"), "dim_platform")
+
+
 def dim_date(*dates: DataFrame) -> DataFrame:
     """Gap-free calendar over all given one-column date frames.
 
@@ -111,6 +124,11 @@ def dim_date(*dates: DataFrame) -> DataFrame:
     days = bounds.where(F.col("first").isNotNull()).select(
         F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("full_date")
     )
+    return calendar_rows(days)
+
+
+def calendar_rows(days: DataFrame) -> DataFrame:
+    """Rows of the calendar for the dates in ``full_date``."""
     day = F.col("full_date")
     return schemas.conform(
         days.select(

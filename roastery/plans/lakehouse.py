@@ -19,6 +19,7 @@ from roastery.rules import DEFAULT_RULES, SERVING_KEYS, Rules
 from roastery.sources.export import export_tables
 from roastery.sources.raw import ingest_raw
 from roastery.storage import (
+    list_folder,
     path_exists,
     read_snapshot,
     read_table,
@@ -62,15 +63,40 @@ def with_sales_partition(sales: DataFrame) -> DataFrame:
     return sales.withColumn("month_key", F.expr("date_key div 100").cast("int"))
 
 
+def stored_sales(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The served sales with their partition columns."""
+    stored = T.StructType([*schemas.STAR["fact_sales"].fields, T.StructField("month_key", T.IntegerType())])
+    return read_table(spark, layout.serving("fact_sales"), stored)
+
+
 def read_sales(spark: SparkSession, layout: Layout, date_keys: list[int] | None = None) -> DataFrame:
     """The served sales, all or those of the given days."""
-    schema = schemas.STAR["fact_sales"]
-    stored = T.StructType([*schema.fields, T.StructField("month_key", T.IntegerType())])
-    sales = read_table(spark, layout.serving("fact_sales"), stored)
+    sales = stored_sales(spark, layout)
     if date_keys is not None:
         months = sorted({day // 100 for day in date_keys})
         sales = sales.where(one_of("month_key", months) & one_of("date_key", date_keys))
-    return sales.select(*schema.fieldNames())
+    return sales.select(*schemas.STAR["fact_sales"].fieldNames())
+
+
+def read_latest_sales(spark: SparkSession, layout: Layout, n: int) -> DataFrame:
+    """The served sales of the newest partitions that together hold n of them (all sales if there are fewer).
+
+    The partitions are known from their folder names, so a feed of the latest
+    sales opens the last of them and, only if that has too few rows, twice as many.
+    """
+    column, folder = layout.sales_partition, layout.serving("fact_sales")
+    prefix = f"{column}="
+    values = [name.removeprefix(prefix) for name in list_folder(spark, folder) if name.startswith(prefix)]
+    newest = sorted((int(v) for v in values if v.isdigit()), reverse=True)
+    opened = 1
+    while True:
+        sales = stored_sales(spark, layout)
+        if opened < len(newest):
+            sales = sales.where(F.col(column) >= newest[opened - 1])
+        sales = sales.select(*schemas.STAR["fact_sales"].fieldNames())
+        if opened >= len(newest) or sales.limit(n).count() == n:
+            return sales
+        opened *= 2
 
 
 def read_served(spark: SparkSession, layout: Layout, name: str) -> DataFrame:

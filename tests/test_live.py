@@ -106,12 +106,18 @@ def test_drops_update_facts_and_metrics(spark, store, tmp_path):
     rejected = spark.read.parquet(store.rejects("sales_dump"))
     assert rows(rejected.select("sale_id", "reason")) == sorted([("4", "bad_timestamp"), (None, "no_sale_id")], key=repr)
     spend = read_served(spark, store, "fact_ad_spend").join(read_served(spark, store, "dim_platform"), "platform_key")
-    # google_ads is no known platform of this lakehouse and 2030 no day of its calendar.
+    # google_ads was no platform of this lakehouse and 2030 no day of its calendar: both join their dimensions.
     assert rows(spend.select("date_key", "platform", "total_cost")) == [
         (20260115, "facebook", Decimal("3.50")),
         (20260115, "tiktok", Decimal("50.00")),
         (20260116, "facebook", Decimal("10.00")),
+        (20260117, "google_ads", Decimal("9.00")),
+        (20301231, "facebook", Decimal("1.00")),
     ]
+    days, platforms = read_served(spark, store, "dim_date"), read_served(spark, store, "dim_platform")
+    assert days.where("date_key = 20301231").count() == 1
+    for name, count in (("date_key", days.count()), ("platform_key", platforms.count())):
+        assert (days if name == "date_key" else platforms).select(name).distinct().count() == count
     assert rows(read_served(spark, store, "fact_marketing_performance")) == expected_performance(spark, store)
     # A restart finds nothing new; a new file goes on where the checkpoint stands.
     taken = len(snapshots(spark, store.serving("fact_ad_spend")))

@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry_module
 from tests.compare import connect, difference
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 WHOLE_RUNS = {
     "stream_sales",
@@ -14,11 +16,12 @@ WHOLE_RUNS = {
     "end_to_end_performance",
     "end_to_end_counts",
 }
-QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
 
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLE) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 def test_flagship(spark):

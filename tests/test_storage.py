@@ -5,10 +5,11 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from roastery import schemas
 from roastery.operators import upsert as up
-from roastery.plans.lakehouse import Layout, read_sales, with_sales_partition
+from roastery.plans.lakehouse import Layout, read_latest_sales, read_sales, with_sales_partition
 from roastery.sources import export, raw
 from roastery.storage import (
     materialize,
@@ -213,3 +214,26 @@ def test_replaced_snapshots_go_by_age(spark, tmp_path):
         write_snapshot(spark.createDataFrame([(i,)], "v int"), path, keep_hours=1)
     write_snapshot(spark.createDataFrame([(4,)], "v int"), path, keep_hours=-1)
     assert snapshots(spark, path) == ["snapshot-000000000005"]
+
+
+@pytest.mark.parametrize("partition", ["month_key", "date_key"])
+def test_latest_sales_open_the_newest_partitions(spark, tmp_path, partition):
+    layout = Layout(str(tmp_path / partition), partition)
+    days = [20250101 + i for i in range(28)] + [20250201, 20250202] + [20250301]
+    sales = schemas.conform(
+        spark.createDataFrame([(str(d), d, 1, 1, 1) for d in days], "sale_id string, date_key int, user_key int, product_key long, amount int"),
+        "fact_sales",
+    )
+    write_table(with_sales_partition(sales), layout.serving("fact_sales"), partition, "date_key")
+
+    def latest(n):
+        found = read_latest_sales(spark, layout, n)
+        top = [r["date_key"] for r in found.orderBy(F.desc("date_key")).limit(n).collect()]
+        assert top == sorted(days, reverse=True)[:n]
+        return found
+
+    for n in (1, 2, 3, 4, 30, 31, 40):
+        latest(n)
+    plan = latest(3)._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [isnotnull({partition}" in plan
+    assert latest(3).count() < len(days)

@@ -129,6 +129,16 @@ CTES: dict[str, str] = {
         from sales_conformed where date_key is not null""",
     **{k: v for k, v in _spend_ctes("spend", "daily_ad_spend").items() if k in ("spend_daily", "spend_fact")},
     **_spend_ctes("event", "event_spend"),
+    # Days and platforms that are new since the batch run join their dimensions.
+    "live_platform": """
+        select platform_key, platform from dim_platform
+        union all
+        select cast((select max(platform_key) from dim_platform) + row_number() over (order by name) as int), name
+        from (select distinct name from event_daily
+              where name is not null and name not in (select platform from dim_platform))""",
+    "event_live": """
+        select cast(strftime(day, '%Y%m%d') as int) as date_key, platform_key, total_cost
+        from event_daily join live_platform on name = platform""",
     **_spend_ctes("fixed", "daily_ad_spend", "'2.5'"),
     "purchases": """
         select cast(strftime(ts, '%Y%m%d') as int) as date_key, cast(user_id as int) as user_key,
@@ -431,6 +441,7 @@ ORACLE["report_sales_feed"] = _sql(
         order by date_key desc, sale_id desc limit 50""",
     "order_sales",
 )
+ORACLE["report_sales_feed_stored"] = ORACLE["report_sales_feed"]
 ORACLE["report_daily_sales"] = _sql(
     f"""select {DAY} as date, cast(sum(amount) as double) as daily_revenue, count(sale_id) as transactions
         from order_sales group by date_key order by date_key""",
@@ -500,11 +511,11 @@ ORACLE["stream_ad_spend"] = _sql(
     f"""select {SPEND_COLUMNS} from (
             select * from fixed_fact where date_key is not null and platform_key is not null
             union all
-            select * from event_fact e where date_key is not null and platform_key is not null
-              and not exists (select 1 from fixed_fact f
+            select * from event_live e
+            where not exists (select 1 from fixed_fact f
                               where f.date_key = e.date_key and f.platform_key = e.platform_key))""",
     "fixed_fact",
-    "event_fact",
+    "event_live",
 )
 ORACLE["end_to_end_performance"] = _sql(
     f"select {PERFORMANCE_COLUMNS} from perf",

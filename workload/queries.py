@@ -17,6 +17,7 @@ from roastery.operators.upsert import last_by_key, merge_snapshot, upsert
 from roastery.plans.lakehouse import (
     Layout,
     build_dims,
+    read_latest_sales,
     read_sales,
     read_served,
     refresh_days,
@@ -396,15 +397,28 @@ def report_cac_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.withColumn("avg_cac", F.round("avg_cac", 6))
 
 
-@query
-def report_sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_feed(spark: SparkSession, sf_dir: str, sales: DataFrame) -> DataFrame:
     users = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("int").alias("user_key"), F.col("c_name").alias("full_name")
     )
     products = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_key"), F.col("p_name").alias("product_name")
     )
-    return portable(reports.report_sales_feed(order_sales(spark, sf_dir), users, products))
+    return portable(reports.report_sales_feed(sales, users, products))
+
+
+@query
+def report_sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_feed(spark, sf_dir, order_sales(spark, sf_dir))
+
+
+@query
+def report_sales_feed_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feed from stored sales, of which it opens the newest partitions only."""
+    layout = Layout(scratch_path(spark, "feed"))
+    dated = order_sales(spark, sf_dir).where(F.col("date_key").isNotNull())
+    write_table(with_sales_partition(dated), layout.serving("fact_sales"), layout.sales_partition, "date_key")
+    return order_feed(spark, sf_dir, read_latest_sales(spark, layout, DEFAULT_RULES.feed_size))
 
 
 @query
