@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from roastery.llm import bpe, decontaminate, line_dedup, minhash_dedup, toxicity
 from roastery.llm.native import sized
-from roastery.storage import scratch_path
+from roastery.storage import materialize, scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -38,6 +38,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return found.where(~F.coalesce(emptied, F.lit(False))).select(*[own.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of whole lines that stand earlier, and without the runs of lines that are repeated then.
+
+    Empty documents are treated as in ``drop_repeated_lines``.
+    """
+    found = line_dedup.dedup_passages(docs)
+    changed = F.col("n_lines_removed") > 0
+    emptied = changed & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    own = {"text": F.col("text"), "n_chars": F.when(changed, F.length("text").cast("long")).otherwise(F.col("row.n_chars"))}
+    left = found.where(~F.coalesce(emptied, F.lit(False))).select(*[own.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return drop_repeated_lines(spark, materialize(left, "without-passages"), sf_dir)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, that with the smallest id.
 
@@ -66,7 +79,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
-    ("line_dedup", drop_repeated_lines),
+    ("line_dedup", drop_repeated_passages),
     ("near_dedup", drop_near_duplicates),
     ("decontamination", drop_contaminated),
     ("bpe", encode),

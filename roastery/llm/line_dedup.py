@@ -8,6 +8,10 @@ occurrences but the first go.  All of it is column expressions.
 
 A chunk in a third of all documents is reduced on the map side both times, and the join that
 tells its occurrences from the first has one row of it on its small side.
+
+Such chunks miss passages of a few lines, as lines next to a passage take part in its
+chunks.  ``dedup_passages`` has no boundaries: from every line the shortest run of lines
+with enough words, forward and backward, is compared, and these cover every passage.
 """
 
 from __future__ import annotations
@@ -15,13 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roastery.llm.native import LAST, let
+from roastery.llm.native import LAST, let, prefix_sums, sized, words
 from roastery.storage import materialize
 
 DIVISOR = 4  # lines per chunk, on average
 ROLL = 3  # lines the rolling hash sees
 BASE = 1_000_003
 PRIME = 2_147_483_647
+LEAST_WORDS = 51  # of a passage
 
 
 def line_number(line: Column) -> Column:
@@ -105,3 +110,85 @@ def dedup_lines(
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(let(F.split("text", "\n"), rest)).alias("text"),
         F.coalesce(F.size("gone"), F.lit(0)).alias("n_chunks_removed"),
     )
+
+
+def passage_windows(lines: Column, least: int = LEAST_WORDS) -> Column:
+    """Array of ``start, end, h, g``: the shortest runs with ``least`` words from each line on and up to each line.
+
+    Lines without a word are passed over, so a run has at most ``least`` others.  Equal runs of lines
+    are cut alike wherever they stand, and the cuts of a longer run cover all its lines: those from its
+    lines on, and the one up to its last line.  ``h`` and ``g`` are 128 bits of the lines.
+    """
+
+    def of(own: Column, before: Column, x: Column, y: Column) -> Column:
+        till = lambda k: F.get(before, k) + F.get(own, k)["n"]
+        short = lambda k: F.size(F.filter(F.sequence(k, F.least(k + least, F.size(own)) - 1), lambda j: till(j) - F.get(before, k) < least))
+        first = lambda k: F.greatest(k - least + 1, F.lit(0))
+        enough = lambda k: F.size(F.filter(F.slice(before, first(k) + 1, k - first(k) + 1), lambda b: till(k) - b >= least))
+        span = lambda s, e: F.struct(s.alias("s"), e.alias("e"))
+        on = F.transform(own, lambda o, k: span(k, F.when(o["n"] >= least, k).otherwise(k + short(k))))
+        up = F.transform(own, lambda o, k: span(F.when(o["n"] >= least, k).otherwise(first(k) + enough(k) - 1), k))
+        # A run too short for ``least`` words ends outside, or starts before the first place looked at.
+        whole = F.concat(F.filter(on, lambda w: w["e"] < F.size(own)), F.filter(up, lambda w: till(w["e"]) - F.coalesce(F.get(before, w["s"]), till(w["e"])) >= least))
+        return F.transform(
+            F.array_distinct(whole),
+            lambda w: F.struct(
+                F.get(own, w["s"])["at"].alias("start"),
+                F.get(own, w["e"])["at"].alias("end"),
+                F.xxhash64(F.slice(x, w["s"] + 1, w["e"] - w["s"] + 1)).alias("h"),
+                F.xxhash64(F.lit(9), F.slice(y, w["s"] + 1, w["e"] - w["s"] + 1)).alias("g"),
+            ),
+        )
+
+    numbered = F.transform(
+        lines, lambda l, i: F.struct(i.alias("at"), F.size(words(l)).alias("n"), F.xxhash64(l).alias("x"), F.xxhash64(F.lit(7), l).alias("y"))
+    )
+    part = lambda own, name: F.transform(own, lambda o: o[name])
+    return let(
+        F.filter(numbered, lambda o: o["n"] > 0),
+        lambda own: let(
+            prefix_sums(F.transform(own, lambda o: o["n"].cast("long"))),
+            lambda before: let(part(own, "x"), lambda x: let(part(own, "y"), lambda y: of(own, before, x, y))),
+        ),
+    )
+
+
+def dedup_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: int = LEAST_WORDS) -> DataFrame:
+    """``row, text, n_lines_removed``: the columns of ``docs`` as a struct, and the text without repeated passages.
+
+    A passage is a run of whole lines, one or more, with at least ``least`` words together; blank
+    lines do not part it.  Of equal passages the one in the smallest id, then at the earliest place,
+    stays; all lines of the others go, with blank lines inside.  A passage that overlaps with its own
+    repetition loses the repeated lines, and every line that goes stays somewhere earlier.  Equal means
+    128 equal bits.  NULL and empty texts stay; NULL ids come after all others.  Rows with one id are
+    told apart by their texts, and those with equal texts give equal results.
+    """
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)).alias("id"),
+        F.col(text_column).alias("text"),
+    ).withColumn("of", F.xxhash64("text"))
+    cut = own.where("text is not null").select("id", "of", F.explode(passage_windows(F.split("text", "\n"), least)).alias("w")).select("id", "of", "w.*")
+    repeated = materialize(cut.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "repeated-windows")
+    again = materialize(cut.join(sized(repeated), "h", "left_semi"), "repeated-passages")
+    place = F.struct("id", "of", "start")
+    first = materialize(again.groupBy("h", "g").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "first-passages")
+    later = again.join(sized(first), ["h", "g"]).where(place != F.col("first"))
+    gone = materialize(later.groupBy("id", "of").agg(F.collect_set(F.struct("start", "end")).alias("gone")), "gone-passages")
+
+    def kept(lines: Column) -> Column:
+        places = F.flatten(F.transform("gone", lambda w: F.sequence(w["start"], w["end"])))
+        return F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), places)
+
+    def rest(lines: Column) -> Column:
+        return let(
+            kept(lines),
+            lambda k: F.struct(F.array_join(F.transform(k, lambda i: F.get(lines, i)), "\n").alias("text"), (F.size(lines) - F.size(k)).alias("n")),
+        )
+
+    joined = own.join(sized(gone), ["id", "of"], "left").withColumn("rest", F.when(F.col("gone").isNotNull(), let(F.split("text", "\n"), rest)))
+    return joined.select(
+        "row",
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.col("rest.text")).alias("text"),
+        F.coalesce("rest.n", F.lit(0)).alias("n_lines_removed"),
+    )

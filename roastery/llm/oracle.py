@@ -5,6 +5,7 @@ from __future__ import annotations
 from roastery.llm.decontaminate import AGREE, MASKS, RUN
 from roastery.llm.line_dedup import BASE as CHUNK_BASE
 from roastery.llm.line_dedup import DIVISOR, ROLL
+from roastery.llm.line_dedup import LEAST_WORDS as PASSAGE_WORDS
 from roastery.llm.line_dedup import PRIME as CHUNK_PRIME
 from roastery.llm.quality_rules import LEAST_LEFT, LEAST_WORDS, LINE_DOCUMENTS, LINE_SHARE, MOST_REPEATED
 from roastery.llm.secret_scan import BASE, RULES
@@ -79,6 +80,22 @@ from judged group by doc_id
 union all select doc_id, 0, null from documents where text is null
 """
 
+OP4_PASSAGES = rf"""
+with l as (select doc_id, unnest(range(len(ls))) as i, unnest(ls) as l from (select doc_id, string_split(text, chr(10)) as ls from documents)),
+     w as (select *, row_number() over (partition by doc_id order by i) as k, sum(n) over (partition by doc_id order by i) as till
+           from (select *, len({WORDS.replace("coalesce(text, '')", "l")}) as n from l) where n > 0),
+     runs as (select a.doc_id, a.k as s, b.k as e from w a join w b
+              on a.doc_id = b.doc_id and b.k between a.k and a.k + {PASSAGE_WORDS} and b.till - a.till + a.n >= {PASSAGE_WORDS}),
+     spans as (select doc_id, s, min(e) as e from runs group by doc_id, s union select doc_id, max(s), e from runs group by doc_id, e),
+     win as (select spans.doc_id, s, e, min(i) as start, max(i) as stop, string_agg(l, chr(10) order by k) as passage
+             from spans join w on w.doc_id = spans.doc_id and k between s and e group by 1, 2, 3),
+     first as (select passage, min({{'d': doc_id, 's': start}}) as f from win group by passage),
+     gone as (select distinct doc_id, unnest(range(start, stop + 1)) as i from win join first using (passage) where f <> {{'d': doc_id, 's': start}})
+select l.doc_id, count(gone.i) as n_lines_removed, sha256(coalesce(string_agg(l, chr(10) order by l.i) filter (where gone.i is null), '')) as text_sha256
+from l left join gone on gone.doc_id = l.doc_id and gone.i = l.i group by l.doc_id
+union all select doc_id, 0, null from documents where text is null
+"""
+
 
 def _masked(ws: str, mask: str) -> str:
     """The kept words of a stretch from place p on, as one text."""
@@ -184,6 +201,7 @@ ORACLE = {
     "op1_substring_dedup": OP1,
     "op2_minhash_dedup": OP2,
     "op4_line_dedup": OP4,
+    "op4_passage_dedup": OP4_PASSAGES,
     "op5_decontaminate": OP5,
     "op6_sharding": OP6,
     "op8_secret_scan": OP8,

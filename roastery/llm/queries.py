@@ -38,6 +38,12 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row.doc_id").alias("doc_id"), F.col("n_chunks_removed").cast("long").alias("n_chunks_removed"), F.sha2("text", 256).alias("text_sha256"))
 
 
+def op4_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated passages of whole lines."""
+    found = line_dedup.dedup_passages(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), F.col("n_lines_removed").cast("long").alias("n_lines_removed"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that documents overlap with."""
     return decontaminate.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -83,6 +89,7 @@ QUERIES = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_bpe_encode": op3_bpe_encode,
     "op4_line_dedup": op4_line_dedup,
+    "op4_passage_dedup": op4_passage_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_sharding": op6_sharding,
     "op7_quality_classifier": op7_quality_classifier,
