@@ -77,10 +77,13 @@ def minima(shingles: np.ndarray, functions: np.ndarray) -> np.ndarray:
 
 
 def packed(low: np.ndarray, bits: int) -> np.ndarray:
-    """The low ``bits`` of the minima, side by side in 64-bit numbers."""
+    """The low ``bits`` of the mixed minima, side by side in 64-bit numbers.
+
+    Unmixed, the low bits of a product depend on those of the shingle alone, alike in every function.
+    """
     per = 64 // bits
     shifts = (np.arange(per) * bits).astype(np.uint64)
-    return np.bitwise_or.reduce((low & np.uint64((1 << bits) - 1)).reshape(-1, per) << shifts, axis=1)
+    return np.bitwise_or.reduce((W.mix(low) & np.uint64((1 << bits) - 1)).reshape(-1, per) << shifts, axis=1)
 
 
 def _sign(shingle: int, bands: int, rows: int, bits: int, kept: int):
