@@ -68,7 +68,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap with no benchmark item."""
-    return decontaminate.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
+    return decontaminate.decontaminate(docs, _table(spark, sf_dir, "benchmark"), covering=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

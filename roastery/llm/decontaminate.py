@@ -10,6 +10,7 @@ All of it is column expressions; texts are not shuffled, only hits are.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +42,19 @@ def _seeds(own: Column, masks: Sequence[str]) -> Column:
     return F.concat(*[masked(mask) for mask in masks])
 
 
+def covering_masks(size: int, agree: int = AGREE) -> list[str]:
+    """Masks for an item of ``size`` words: whichever words may differ, one of them ignores all of these.
+
+    The words are parted into groups, and each mask ignores as many groups as words may differ.
+    Ignored ends are cut off, so that an item may start before a document or end after it.
+    """
+    differ = size * (100 - agree) // 100
+    groups = min(size, differ + 2)
+    of = [i * groups // size for i in range(size)]
+    masks = ["".join("0" if g in ignored else "1" for g in of).strip("0") for ignored in combinations(range(groups), differ)]
+    return sorted({m for m in masks if m})
+
+
 def overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -51,6 +65,7 @@ def overlaps(
     masks: Sequence[str] = MASKS,
     run: int = RUN,
     agree: int = AGREE,
+    covering: bool = False,
 ) -> DataFrame:
     """``doc_id, item_id, n_agree, n_run, doc_start``: the best overlap of each document and benchmark item.
 
@@ -58,19 +73,21 @@ def overlaps(
     consecutive item words (all of a shorter item) has ``agree`` percent or more of its words equal to
     the document's.  ``n_agree`` counts them in the best run of ``n_run`` words, ``doc_start`` is its first
     word; ties go to the earliest.  Words are runs of letters and digits in lower case.  Items
-    with fewer words than a mask have to be there unchanged.  NULL and empty texts on
+    with fewer words than a mask have to be there unchanged, and those below ``run`` words are missed
+    where every mask meets a changed word; with ``covering`` such items get masks that find every overlap.  NULL and empty texts on
     either side overlap with nothing.  Repeated rows give one result; rows without an id are
     one document, named NULL.  Other columns are not read, whatever their names.
     """
     own = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)).alias("id"), F.col(text_column).alias("text"))
     items = benchmark.select(F.col(item_column).cast("long").alias("item_id"), tokens(F.col(item_text)).alias("item")).where(F.size("item") > 0).distinct()
-    longest = max(map(len, masks))
-    # Items with fewer words than a mask: a mask of their own length that keeps every word.
-    lengths = items.where(F.size("item") < longest).select(F.size("item").alias("n")).distinct().collect()
-    whole = ["1" * r["n"] for r in lengths]
+    longest = max(run if covering else 0, *map(len, masks))
+    # Items with fewer words: masks of their own, or one of their length that keeps every word.
+    lengths = sorted(r["n"] for r in items.where(F.size("item") < longest).select(F.size("item").alias("n")).distinct().collect())
+    own_masks = {n: covering_masks(n, agree) if covering and n < run else ["1" * n] for n in lengths}
+    whole = sorted({m for some in own_masks.values() for m in some} - set(masks))
     asked_seeds = F.when(F.size("item") >= longest, _seeds(F.col("item"), masks))
-    for mask in whole:
-        asked_seeds = asked_seeds.when(F.size("item") == len(mask), _seeds(F.col("item"), [mask]))
+    for n, some in own_masks.items():
+        asked_seeds = asked_seeds.when(F.size("item") == n, _seeds(F.col("item"), some))
     asked = items.select("item_id", F.explode(asked_seeds).alias("s")).select("item_id", F.col("s.place").alias("item_place"), F.col("s.h").alias("h"))
     cut = own.select("id", tokens(F.col("text")).alias("words"))
     offered = cut.select("id", F.explode(_seeds(F.col("words"), [*masks, *whole])).alias("s")).select("id", "s.place", "s.h")
