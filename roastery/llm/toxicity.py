@@ -11,13 +11,15 @@ those whose form, or beginning, is found in many toxic and hardly any other
 documents, counting each context once so that copies of one document do not make
 its rare words look telling.
 
-The field is fitted on a bounded sample (``labelled``) and broadcast; every document is
+The field is fitted on a bounded sample (``labelled``), its token weights and ties on all toxic
+texts of it and as many calm ones drawn by a hash of the text, and broadcast; every document is
 then tagged whole in one pass without a shuffle.  The chain of a whole chunk of documents
 runs as one product of two-by-two matrices, which a document's first token resets.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -222,8 +224,8 @@ def fit(sample: list[tuple[str, int]], steps: int = STEPS, rate: float = 1.0, de
     texts = pa.array([t for t, _ in sample], pa.string())
     tokens = Tokens.of(texts)
     marks = token_labels(tokens, labels)
-    # All toxic documents and as many others teach the chain.
-    calm = np.flatnonzero(~labels)[: int(labels.sum())]
+    # All toxic documents and as many others teach the chain, these in the order of a hash: the sample comes by id.
+    calm = np.array(sorted(np.flatnonzero(~labels).tolist(), key=lambda i: hashlib.md5(sample[i][0].encode()).digest()))[: int(labels.sum())]
     taught = np.isin(np.arange(len(labels)), calm) | labels
     used = taught[tokens.words.owner()]
     features = tokens.features()[:, used]
