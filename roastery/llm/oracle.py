@@ -197,6 +197,56 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from f
 """
 
+_FAILS = {
+    "A": "len(ws) < 200",
+    "B": "100 * len(list_distinct(ws)) < 50 * len(ws)",
+    "C": "100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 2 * length(text)",
+    "D": "regexp_matches(text, '[#$%&*|]')",
+    "E": "doc_id > min(doc_id) over (partition by text)",
+}
+OP11 = rf"""
+with w as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text, {WORDS} as ws from documents),
+     f as (select doc_id, part, {", ".join(f"{test} as {x}" for x, test in _FAILS.items())} from w),
+     combos as (select part, A, B, C, D, E, coalesce(quality = 1, false) as good, coalesce(toxic = 1, false) as toxic, count(*) as n
+                from f left join labels using (doc_id) group by all),
+     letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+     orders as (select a.x || b.x || c.x || d.x || e.x as filter_order from letters a, letters b, letters c, letters d, letters e
+                where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+     steps as (select filter_order, step::integer as step, filter_order[step] as own, filter_order[1:step - 1] as before
+               from orders, (select unnest(range(1, 6)) as step)),
+     failed as (select *, concat(case when A then 'A' end, case when B then 'B' end, case when C then 'C' end,
+                                 case when D then 'D' end, case when E then 'E' end) as letters from combos),
+     hit as (select part, filter_order, step, own, good, toxic, n, contains(letters, own) as fails, letters = own as alone,
+                    regexp_matches(letters, case when before = '' then 'none' else '[' || before || ']' end) as gone
+             from failed, steps),
+     m as (select part, filter_order, step, own, sum(n) filter (where not fails and not gone) as kept,
+                  sum(n) filter (where fails and not gone) as removed, sum(n) filter (where fails and gone) as redundant,
+                  sum(n) filter (where alone) as unique_fails, sum(n) filter (where fails and not gone and good) as good_lost,
+                  sum(n) filter (where fails and not gone and toxic) as toxic_lost
+           from hit group by all)
+select part, filter_order, step, {", ".join(f"coalesce({c}, 0)::bigint as {c}" for c in "kept removed redundant unique_fails good_lost toxic_lost".split())},
+       coalesce(sum(removed) over (partition by part, own), 0)::bigint as shapley, own as filter
+from m
+"""
+
+OP13 = r"""
+with terms as (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents),
+     asked as (select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+     tf as (select doc_id, term, count(*) as tf from terms group by all),
+     lengths as (select doc_id, sum(tf)::bigint as n from tf group by doc_id),
+     whole as (select count(*) as N_docs, sum(n)::bigint as L from lengths),
+     df as (select term, count(*) as df from tf group by term),
+     weights as (select term, floor(1000 * ln((2 * N_docs + 2)::double / (2 * df + 1)))::bigint as w from df, whole),
+     m as (select doc_id, 100 - 25 + ((25 * n * N_docs) // L) as m from lengths, whole),
+     scores as (select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score
+                from asked join tf using (term) join weights using (term) join m using (doc_id) group by all),
+     ranked as (select item_id, row_number() over (partition by item_id order by score desc, doc_id)::integer as rank, doc_id, score
+                from scores where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 20
+"""
+
 ORACLE = {
     "op1_substring_dedup": OP1,
     "op2_minhash_dedup": OP2,
@@ -206,4 +256,6 @@ ORACLE = {
     "op6_sharding": OP6,
     "op8_secret_scan": OP8,
     "op10_quality_rules": OP10,
+    "op11_filter_audit": OP11,
+    "op13_lexical_search": OP13,
 }

@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roastery.llm import bpe, decontaminate, line_dedup, minhash_dedup, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, toxicity
+from roastery.llm import (
+    bpe,
+    decontaminate,
+    filter_audit,
+    language_mix,
+    lexical_search,
+    line_dedup,
+    minhash_dedup,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    sharding,
+    substring_dedup,
+    toxicity,
+)
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -84,6 +98,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(_table(spark, sf_dir, "documents")).drop("text")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove, alone and after each other, in all their orders."""
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main language of every document, and the set of languages it is mixed of."""
+    found = language_mix.identify(_table(spark, sf_dir, "documents"))
+    return found.withColumn("languages", F.concat_ws(",", F.transform("languages", lambda x: F.concat_ws(":", x["lang"], F.round(x["share"], 4)))))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best documents for every benchmark item."""
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -96,4 +126,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_language_mix": op12_language_mix,
+    "op13_lexical_search": op13_lexical_search,
 }
