@@ -126,11 +126,13 @@ def resolve_sales(
     rules: Rules = DEFAULT_RULES,
     small_users: bool | None = None,
     small_products: bool | None = None,
+    pending: bool = False,
 ) -> DataFrame:
     """Sales with user_key (unknown user where unmatched) and product_key (NULL where unmatched).
 
     User ids are trimmed like those of the dimension, and products are looked
-    up by a name that is made unique first, so each sale stays one row.
+    up by a name that is made unique first, so each sale stays one row.  ``pending``
+    adds the names that had no match, as ``pending_user`` and ``pending_product``.
     """
     slim = cleaned.select(
         "sale_id", "date_key", "user_id", "product_name", F.col("amount_usd").alias("amount")
@@ -139,9 +141,26 @@ def resolve_sales(
     products = attach_key(
         users, dim_product, F.trim("product_name"), "product_name", "product_key", small_products
     )
-    return schemas.conform(
-        products.withColumn("user_key", F.coalesce("user_key", F.lit(rules.unknown_user_key))), "fact_sales"
+    unmatched = {
+        "pending_user": F.when(F.col("user_key").isNull(), F.trim("user_id")),
+        "pending_product": F.when(F.col("product_key").isNull(), F.trim("product_name")),
+    }
+    known = products.withColumns({**(unmatched if pending else {}), "user_key": F.coalesce("user_key", F.lit(rules.unknown_user_key))})
+    return schemas.conform(known, "fact_sales", *(unmatched if pending else ()))
+
+
+def rekey_sales(sales: DataFrame, dim_user: DataFrame, dim_product: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Stored sales with the keys of members that came after them; what still has no match stays pending."""
+    columns = sales.columns
+    users = attach_key(sales.withColumnRenamed("user_key", "_user"), dim_user, F.col("pending_user"), "user_id", "user_key")
+    users = users.withColumns(
+        {"pending_user": F.when(F.col("user_key").isNull(), F.col("pending_user")), "user_key": F.coalesce("user_key", "_user")}
+    ).drop("_user")
+    found = attach_key(users.withColumnRenamed("product_key", "_product"), dim_product, F.col("pending_product"), "product_name", "product_key")
+    found = found.withColumns(
+        {"pending_product": F.when(F.col("product_key").isNull(), F.col("pending_product")), "product_key": F.coalesce("product_key", "_product")}
     )
+    return found.select(*columns)
 
 
 def fact_sales(
@@ -159,11 +178,11 @@ def fact_sales(
 
 
 def with_product_fallback(fact: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Dated sales only, with the unknown product where none matched."""
+    """Dated sales only, with the unknown product where none matched; columns beside the fact's stay."""
     dated = fact.where(F.col("date_key").isNotNull())
+    more = [c for c in fact.columns if c not in schemas.STAR["fact_sales"].fieldNames()]
     return schemas.conform(
-        dated.withColumn("product_key", F.coalesce("product_key", F.lit(rules.unknown_product_key))),
-        "fact_sales",
+        dated.withColumn("product_key", F.coalesce("product_key", F.lit(rules.unknown_product_key))), "fact_sales", *more
     )
 
 

@@ -10,24 +10,27 @@ from roastery.functions import money_sum, one_of, ratio
 from roastery.rules import DEFAULT_RULES, Rules
 
 
-def marketing_performance(
-    sales: DataFrame,
-    spend: DataFrame,
-    rules: Rules = DEFAULT_RULES,
-    distinct_users: bool = False,
-) -> DataFrame:
-    """One row per day with spend, revenue or both.
+def daily_measures(sales: DataFrame, rules: Rules = DEFAULT_RULES, distinct_users: bool = False) -> DataFrame:
+    """Revenue, sales by known users and, if asked, different known users per day.
 
-    Each side is reduced to one row per day before the outer join, with partial
-    sums on the map side, so a day that holds a third of all sales costs its
-    final task one row per map task.  ``paying_users`` counts sales by known
-    users; ``distinct_users`` adds the number of different ones.
+    Without the distinct users the measures of parts of the sales add up to those of all.
     """
     known = F.col("user_key") != rules.unknown_user_key
     measures = [money_sum(sales, "amount").alias("total_revenue"), F.count_if(known).alias("paying_users")]
     if distinct_users:
         measures.append(F.count_distinct(F.when(known, F.col("user_key"))).alias("distinct_paying_users"))
-    revenue = sales.groupBy("date_key").agg(*measures)
+    return sales.groupBy("date_key").agg(*measures)
+
+
+def add_up(measures: DataFrame) -> DataFrame:
+    """One row per day from measures of parts of its sales."""
+    return measures.groupBy("date_key").agg(
+        F.sum("total_revenue").cast(schemas.MEASURES["total_revenue"].dataType).alias("total_revenue"), F.sum("paying_users").alias("paying_users")
+    )
+
+
+def performance_of(revenue: DataFrame, spend: DataFrame, rules: Rules = DEFAULT_RULES, distinct_users: bool = False) -> DataFrame:
+    """Daily performance from the measures of the sales, a row per day, and the spend."""
     cost = spend.groupBy("date_key").agg(F.sum("total_cost").alias("total_ad_spend"))
     daily = cost.join(revenue, "date_key", "full").withColumns(
         {
@@ -40,9 +43,23 @@ def marketing_performance(
     if not distinct_users:
         return daily.select(*columns)
     distinct_cac = ratio(F.col("total_ad_spend"), F.col("distinct_paying_users"), rules.cac_digits)
-    return daily.withColumn("distinct_cac", distinct_cac).select(
-        *columns, "distinct_paying_users", "distinct_cac"
-    )
+    return daily.withColumn("distinct_cac", distinct_cac).select(*columns, "distinct_paying_users", "distinct_cac")
+
+
+def marketing_performance(
+    sales: DataFrame,
+    spend: DataFrame,
+    rules: Rules = DEFAULT_RULES,
+    distinct_users: bool = False,
+) -> DataFrame:
+    """One row per day with spend, revenue or both.
+
+    Each side is reduced to one row per day before the outer join, with partial
+    sums on the map side, so a day that holds a third of all sales costs its
+    final task one row per map task.  ``paying_users`` counts sales by known
+    users; ``distinct_users`` adds the number of different ones.
+    """
+    return performance_of(daily_measures(sales, rules, distinct_users), spend, rules, distinct_users)
 
 
 def refresh_performance(

@@ -82,10 +82,20 @@ STAR = {
     ),
 }
 
+# What a day's sales add to its metrics; measures of parts of the sales add up.
+MEASURES = _columns(date_key="int", total_revenue=(22, 2), paying_users="bigint")
+
+# Beside the served columns, a stored sale has its partition, where it came from, and the natural keys that had no match.
+STORED_SALES = T.StructType(
+    [*STAR["fact_sales"].fields, *_columns(month_key="int", origin="string", pending_user="string", pending_product="string").fields]
+)
+STORED_SPEND = T.StructType([*STAR["fact_ad_spend"].fields, *_columns(origin="string").fields])
+LIVE = "live"
+
 DIMENSIONS = ("dim_user", "dim_product", "dim_platform", "dim_date", "dim_influencer")
 FACTS = ("fact_ad_spend", "fact_sales", "fact_marketing_performance")
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Project ``df`` to the declared columns, order and types of a star table."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in STAR[table].fields])
+def conform(df: DataFrame, table: str, *more: str) -> DataFrame:
+    """Project ``df`` to the declared columns, order and types of a star table, and ``more`` columns as they are."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in STAR[table].fields], *more)

@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 #: How long a replaced snapshot stays for readers that still have it open.
 KEEP_HOURS = 24.0
+#: File that names the current snapshot of a table.
+HEAD = "HEAD"
 _local_scratch: dict[str, str] = {}
 _scope: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch_scope", default=None)
 Result = TypeVar("Result")
@@ -147,12 +149,66 @@ def write_table(
     return rows.get["rows"]
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file in one step: readers find the old text or the new one."""
+    jvm = spark.sparkContext._jvm
+    filesystem, target = filesystem_of(spark, path)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = filesystem.create(aside)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    files.rename(filesystem.makeQualified(aside), filesystem.makeQualified(target), options)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file written by ``write_text``; None if there is none."""
+    if not path_exists(spark, path):
+        return None
+    filesystem, hadoop_path = filesystem_of(spark, path)
+    source = filesystem.open(hadoop_path)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
+def _flat(names: list[str]) -> list[str]:
+    return [n for n in names if n.startswith("snapshot-")]
+
+
+def head(spark: SparkSession, path: str) -> tuple[str, str] | None:
+    """Folder of the current snapshot below ``path``, and the note stored with it; None if there is no snapshot.
+
+    One read of the head file.  A table written before there was such a file is
+    searched for its last complete snapshot.
+    """
+    text = read_text(spark, f"{path}/{HEAD}")
+    if text is not None:
+        name, _, note = text.partition("\n")
+        return name, note
+    if not path_exists(spark, path):
+        return None
+    for name in reversed(_flat(list_folder(spark, path))):
+        if table_exists(spark, f"{path}/{name}"):
+            return name, ""
+    return None
+
+
 def snapshots(spark: SparkSession, path: str) -> list[str]:
-    """Complete snapshots of a small table, oldest first."""
+    """Complete snapshots that are still kept, oldest first: for inspection, since it looks at each."""
     if not path_exists(spark, path):
         return []
-    names = [n for n in list_folder(spark, path) if n.startswith("snapshot-")]
-    return [n for n in names if table_exists(spark, f"{path}/{n}")]
+    names = list_folder(spark, path)
+    found = [n for n in _flat(names) if table_exists(spark, f"{path}/{n}")]
+    for hour in (n for n in names if n.startswith("hour=")):
+        found += [n for n in _flat(list_folder(spark, f"{path}/{hour}")) if table_exists(spark, f"{path}/{hour}/{n}")]
+    return sorted(found)
 
 
 def completed_at(spark: SparkSession, path: str) -> float:
@@ -161,31 +217,60 @@ def completed_at(spark: SparkSession, path: str) -> float:
     return filesystem.getFileStatus(marker).getModificationTime() / 1000
 
 
-def write_snapshot(df: DataFrame, path: str, keep_hours: float = KEEP_HOURS) -> int:
+def _hour(seconds: float) -> str:
+    return time.strftime("hour=%Y%m%d%H", time.gmtime(seconds))
+
+
+def write_snapshot(df: DataFrame, path: str, keep_hours: float = KEEP_HOURS, note: str = "") -> int:
     """Write a small table as its next snapshot; returns its rows.
 
-    Readers go on with the snapshot they have until this one is complete, so a
-    frame may be computed from the very table it is written to, and a run that
-    dies leaves the table as it was.  A snapshot goes only ``keep_hours`` after
-    the next one replaced it, however many follow, so ``keep_hours`` has to exceed
-    the longest report; frames and views show the table as of when they were opened.
+    Readers go on with the snapshot they have until the head file names this one,
+    so a frame may be computed from the very table it is written to, and a run that
+    dies leaves the table as it was.  ``note`` is switched together with the snapshot.
+    A snapshot stays for ``keep_hours`` at least after it was replaced, however many follow,
+    so ``keep_hours`` has to exceed the longest report; frames and views show the table as
+    of when they were opened.
+
+    Snapshots lie in folders by hour, which expire as a whole, so a merge reads the head,
+    lists the hours that are kept and looks at no other snapshot, however many there are.
     """
     spark = df.sparkSession
-    taken = [n for n in list_folder(spark, path) if n.startswith("snapshot-")] if path_exists(spark, path) else []
-    number = int(taken[-1].removeprefix("snapshot-")) + 1 if taken else 1
-    rows = write_table(df.hint("rebalance"), f"{path}/snapshot-{number:012d}")
-    complete = snapshots(spark, path)
-    oldest_kept = time.time() - 3600 * keep_hours
-    for old, successor in zip(complete, complete[1:]):
-        if completed_at(spark, f"{path}/{successor}") >= oldest_kept:
-            break
-        delete_folder(spark, f"{path}/{old}")
+    names = list_folder(spark, path) if path_exists(spark, path) else []
+    current = head(spark, path)
+    taken = [n.rsplit("/", 1)[-1] for n in ([current[0]] if current else []) + _flat(names)]
+    number = max((int(n.removeprefix("snapshot-")) for n in taken), default=0) + 1
+    hour = max(_hour(time.time()), current[0].split("/")[0] if current and "/" in current[0] else "")
+    name = f"{hour}/snapshot-{number:012d}"
+    rows = write_table(df.hint("rebalance"), f"{path}/{name}")
+    write_text(spark, f"{path}/{HEAD}", f"{name}\n{note}")
+    _expire(spark, path, names, name, keep_hours)
     return rows
 
 
+def _expire(spark: SparkSession, path: str, names: list[str], current: str, keep_hours: float) -> None:
+    """Delete what was replaced ``keep_hours`` ago or earlier.
+
+    Everything in an hour's folder was replaced before the next folder's hour was over.
+    """
+    if keep_hours <= 0:
+        for hour in [n for n in names if n.startswith("hour=")]:
+            for old in list_folder(spark, f"{path}/{hour}"):
+                if f"{hour}/{old}" != current:
+                    delete_folder(spark, f"{path}/{hour}/{old}")
+    hours = sorted({n for n in names if n.startswith("hour=")} | {current.split("/")[0]})
+    limit = _hour(time.time() - 3600 * (keep_hours + 1))
+    for old, successor in zip(hours, hours[1:]):
+        if successor < limit:
+            delete_folder(spark, f"{path}/{old}")
+    flat = _flat(names)  # of before there were hours; the last was replaced by the first hour's first
+    replaced = flat if keep_hours <= 0 or (hours[0] < limit) else []
+    for old in replaced:
+        delete_folder(spark, f"{path}/{old}")
+
+
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The latest complete snapshot."""
-    complete = snapshots(spark, path)
-    if not complete:
+    current = head(spark, path)
+    if current is None:
         raise FileNotFoundError(f"no complete snapshot under {path}")
-    return read_table(spark, f"{path}/{complete[-1]}", schema)
+    return read_table(spark, f"{path}/{current[0]}", schema)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import shutil
+import time
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from roastery import schemas
+from roastery import schemas, storage
 from roastery.operators import upsert as up
 from roastery.plans.lakehouse import Layout, read_latest_sales, read_sales, with_sales_partition
 from roastery.sources import export, raw
@@ -237,3 +239,72 @@ def test_latest_sales_open_the_newest_partitions(spark, tmp_path, partition):
     plan = latest(3)._jdf.queryExecution().executedPlan().toString()
     assert f"PartitionFilters: [isnotnull({partition}" in plan
     assert latest(3).count() < len(days)
+
+
+def test_cost_of_a_merge_does_not_follow_their_number(spark, tmp_path, monkeypatch):
+    """File-system calls of a merge after a few others and after ten thousand, of which a day's are kept."""
+    calls = []
+    real = storage.filesystem_of
+    monkeypatch.setattr(storage, "filesystem_of", lambda s, path: calls.append(path) or real(s, path))
+    frame = spark.createDataFrame([(0,)], "v int")
+
+    def cost(path):
+        calls.clear()
+        up.merge_snapshot(spark, path, frame, ["v"])
+        return len(calls)
+
+    few, many = str(tmp_path / "few"), tmp_path / "many"
+    for _ in range(3):
+        up.merge_snapshot(spark, few, frame, ["v"])
+    up.merge_snapshot(spark, str(many), frame, ["v"])
+    now = time.time()
+    for number in range(2, 10_001):
+        hour = time.strftime("hour=%Y%m%d%H", time.gmtime(now - 10 * (10_001 - number)))
+        folder = many / hour / f"snapshot-{number:012d}"
+        folder.mkdir(parents=True)
+        (folder / "_SUCCESS").touch()
+    last = f"{hour}/snapshot-{10_000:012d}"
+    shutil.copytree(next((tmp_path / "many").glob("hour=*/snapshot-000000000001")), many / last, dirs_exist_ok=True)
+    storage.write_text(spark, str(many / storage.HEAD), last)
+    cost(str(many))  # expires what is older than a day
+    assert cost(str(many)) == cost(few)
+    assert storage.head(spark, str(many))[0].endswith("snapshot-000000010002")
+    assert read_snapshot(spark, str(many), frame.schema).collect() == [(0,)]
+
+
+def test_expired_hours_go_as_a_whole(spark, tmp_path, monkeypatch):
+    path, frame = str(tmp_path / "t"), spark.createDataFrame([(0,)], "v int")
+    clock = [time.time()]
+    monkeypatch.setattr(storage.time, "time", lambda: clock[0])
+    for _ in range(8):
+        write_snapshot(frame, path, keep_hours=2)
+        clock[0] += 3600
+    hours = sorted(p.name for p in (tmp_path / "t").iterdir() if p.is_dir())
+    assert 3 <= len(hours) <= 5 and storage.head(spark, path)[0].startswith(hours[-1])
+
+
+def test_store_of_before_there_were_hours_goes_on(spark, tmp_path):
+    path, frame = str(tmp_path / "t"), spark.createDataFrame([(5,)], "v int")
+    write_table(frame, f"{path}/snapshot-000000000007")
+    assert read_snapshot(spark, path, frame.schema).collect() == [(5,)]
+    write_snapshot(frame.selectExpr("v + 1 as v"), path)
+    assert snapshots(spark, path) == ["snapshot-000000000007", "snapshot-000000000008"]
+    assert read_snapshot(spark, path, frame.schema).collect() == [(6,)]
+
+
+def test_parts_of_a_table_are_read_by_name(spark, tmp_path):
+    parts = tmp_path / "in" / "t.csv"
+    parts.mkdir(parents=True)
+    (parts / "p1.csv").write_text("a,b\n1,2\n")
+    (parts / "p2.csv").write_text('b,c,a\n3,"x\ny",4\n')
+    (parts / "p3.csv").write_text("")
+    (parts / "p4 [x].csv").write_text('"b"\n5\n')
+    assert raw.ingest_raw(spark, str(tmp_path / "in"), str(tmp_path / "raw")) == {"t": 3}
+    found = spark.read.parquet(str(tmp_path / "raw" / "t"))
+    assert rows(found.select("a", "b", "c")) == [("1", "2", None), ("4", "3", "x\ny"), (None, "5", None)]
+    assert found.where("ingestion_timestamp is null or source_file_name is null").isEmpty()
+    assert [f.rsplit("/", 1)[1] for f in raw.files_spanning_lines(spark, str(parts))] == ["p2.csv"]
+    named = raw.read_raw(spark, str(parts / "p2.csv"), schemas._text("a", "b"))
+    assert rows(named) == [("4", "3")]
+    with pytest.raises(ValueError, match="columns missing"):
+        raw.read_raw(spark, str(parts), schemas._text("a", "b"))
