@@ -15,7 +15,7 @@ from roastery.storage import materialize
 
 HOT_KEYS = 1000
 BROADCAST_BYTES = 64 * 1024 * 1024
-_ROW_OVERHEAD = 32
+ROW_OVERHEAD = 32
 
 
 def unique_lookup(members: DataFrame, member_col: str, key_col: str) -> DataFrame:
@@ -31,7 +31,7 @@ def fits_broadcast(lookup: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> boo
     """Measure a (member, key) table: text bytes plus a fixed cost per row."""
     size = lookup.agg(
         F.coalesce(
-            F.sum(F.octet_length(F.col("_member").cast("string")) + F.lit(_ROW_OVERHEAD)), F.lit(0)
+            F.sum(F.octet_length(F.col("_member").cast("string")) + F.lit(ROW_OVERHEAD)), F.lit(0)
         ).alias("bytes")
     )
     return size.first()["bytes"] <= limit_bytes

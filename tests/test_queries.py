@@ -10,11 +10,16 @@ from workload.oracle import ORACLE
 from workload.queries import QUERIES
 
 WHOLE_RUNS = {
+    "end_to_end_counts",
+    "end_to_end_performance",
+    "late_members",
+    "metrics_by_delta",
+    "replayed_batches",
+    "rerun_after_drop",
+    "stream_ad_spend",
+    "stream_by_name",
     "stream_sales",
     "stream_sales_performance",
-    "stream_ad_spend",
-    "end_to_end_performance",
-    "end_to_end_counts",
 }
 
 

@@ -547,3 +547,20 @@ ORACLE["serving_sql"] = _sql(
     "order_sales",
     "spend_fact",
 )
+ORACLE["raw_by_name"] = SOURCES["sales_dump"][0]
+ORACLE["stream_by_name"] = ORACLE["fact_sales"]
+ORACLE["replayed_batches"] = ORACLE["fact_sales"]
+ORACLE["metrics_by_delta"] = ORACLE["end_to_end_performance"]
+ORACLE["rerun_after_drop"] = _sql(
+    f"select {PERFORMANCE_COLUMNS} from perf",
+    "perf",
+    "streamed_sales",
+    complete_spend="select * from spend_fact where date_key is not null and platform_key is not null",
+    **_performance("streamed_sales", "complete_spend"),
+)
+ORACLE["late_members"] = _sql(
+    """select sale_id, date_key, user_id, cast(amount as double) as amount
+       from sales_fact join dim_user using (user_key)""",
+    "sales_fact",
+    "dim_user",
+)

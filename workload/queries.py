@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 from functools import partial
 
@@ -18,6 +19,7 @@ from roastery.plans.lakehouse import (
     Layout,
     build_dims,
     read_latest_sales,
+    read_measures,
     read_sales,
     read_served,
     refresh_days,
@@ -30,8 +32,8 @@ from roastery.rules import DEFAULT_RULES
 from roastery.sources.export import export_tables, read_exported, verify_export
 from roastery.sources.raw import PROVENANCE, ingest_raw
 from roastery.storage import read_table, scratch_path, side_by_side, write_snapshot, write_table
-from roastery.streaming.live import watch
-from workload.drops import drop_csv, write_csv_sources
+from roastery.streaming.live import process_sales, watch
+from workload.drops import CSV_OPTIONS, drop_csv, write_csv_sources
 from workload.messy import source, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -595,11 +597,18 @@ def _live_store(spark: SparkSession, sf_dir: str) -> Layout:
     return layout
 
 
-def _drain(spark: SparkSession, incoming: str, layout: Layout) -> None:
-    for running in watch(spark, incoming, layout, f"{layout.root}/checkpoints", trigger={"availableNow": True}):
+def _drain(spark: SparkSession, incoming: str, layout: Layout, files_per_batch: int | None = None) -> None:
+    checkpoints = f"{layout.root}/checkpoints"
+    for running in watch(spark, incoming, layout, checkpoints, trigger={"availableNow": True}, files_per_batch=files_per_batch):
         running.awaitTermination()
 
 
+def doubled_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales once more under doubled ids, half of which are taken."""
+    number = (F.substring("sale_id", 2, 10).cast("bigint") * 2).cast("string")
+    return source(spark, sf_dir, "sales_dump").withColumn("sale_id", F.concat(F.lit("S"), F.lpad(number, 10, "0")))
+
+
 def _streamed_sales(spark: SparkSession, sf_dir: str) -> Layout:
     """All sales dropped in several files, then dropped again under doubled ids."""
     layout, incoming = _live_store(spark, sf_dir), scratch_path(spark, "incoming")
@@ -607,10 +616,7 @@ def _streamed_sales(spark: SparkSession, sf_dir: str) -> Layout:
     drop_csv(sales, incoming, "sales_dump_first")
     drop_csv(sales.select("sale_id"), incoming, "unrelated")
     _drain(spark, incoming, layout)
-    doubled = F.concat(
-        F.lit("S"), F.lpad((F.substring("sale_id", 2, 10).cast("bigint") * 2).cast("string"), 10, "0")
-    )
-    drop_csv(sales.withColumn("sale_id", doubled), incoming, "sales_dump_second")
+    drop_csv(doubled_sales(spark, sf_dir), incoming, "sales_dump_second")
     _drain(spark, incoming, layout)
     return layout
 
@@ -626,6 +632,68 @@ def stream_sales_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(read_served(spark, layout, "fact_marketing_performance"))
 
 
+@query
+def metrics_by_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily metrics from what several batches added to their days; no stored sale is read."""
+    layout, incoming = _live_store(spark, sf_dir), scratch_path(spark, "incoming")
+    drop_csv(source(spark, sf_dir, "sales_dump"), incoming, "sales_dump")
+    _drain(spark, incoming, layout, files_per_batch=2)
+    return portable(metrics.performance_of(read_measures(spark, layout), read_served(spark, layout, "fact_ad_spend")))
+
+
+def _three_headers(sales: DataFrame) -> list[DataFrame]:
+    """The sales in three parts, whose columns have other orders and, in one part, another column."""
+    third = F.pmod(F.xxhash64("sale_id", "timestamp"), F.lit(3))
+    first, second, last = [sales.where(F.coalesce(third, F.lit(0)) == i) for i in range(3)]
+    return [first, second.select(*reversed(sales.columns)), last.select("amount", F.lit("x").alias("note"), *[c for c in sales.columns if c != "amount"])]
+
+
+@query
+def raw_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table from part files under three headers."""
+    src, dst = scratch_path(spark, "csv"), scratch_path(spark, "raw")
+    for part in _three_headers(source(spark, sf_dir, "sales_dump")):
+        part.write.mode("append").options(**CSV_OPTIONS).csv(f"{src}/sales_dump.csv")
+    ingest_raw(spark, src, dst)
+    return spark.read.parquet(f"{dst}/sales_dump").select(*schemas.SOURCES["sales_dump"].fieldNames())
+
+
+@query
+def stream_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales dropped under three headers, beside files that lack a column, which are rejects."""
+    layout, incoming = _live_store(spark, sf_dir), scratch_path(spark, "incoming")
+    sales = source(spark, sf_dir, "sales_dump")
+    for number, part in enumerate(_three_headers(sales)):
+        drop_csv(part, incoming, f"sales_dump_{number}")
+    drop_csv(sales.drop("amount"), incoming, "sales_dump_without_amount")
+    _drain(spark, incoming, layout)
+    return portable(read_sales(spark, layout))
+
+
+class _Lost(Exception):
+    """Stands for the loss of the driver within a batch."""
+
+
+@query
+def replayed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales in batches that each die after another of their steps and are repeated, and repeated again."""
+    layout = _live_store(spark, sf_dir)
+    sales = source(spark, sf_dir, "sales_dump").select("*", F.lit("a.csv").alias("file_path"), F.lit("2024-01-01").cast("timestamp").alias("file_time"))
+    steps = ("claimed", "appended", "measured")
+    for number, last in enumerate(steps):
+
+        def die(step: str, last: str = last) -> None:
+            if step == last:
+                raise _Lost(step)
+
+        batch = sales.where(F.pmod(F.xxhash64(F.coalesce("sale_id", "timestamp")), F.lit(len(steps))) == number)
+        with contextlib.suppress(_Lost):
+            process_sales(batch, layout, number, stream="replayed", after=die)
+        process_sales(batch, layout, number, stream="replayed")
+        process_sales(batch, layout, number, stream="replayed")
+    return portable(read_sales(spark, layout))
+
+
 @query
 def stream_ad_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New spend for other days, then corrected totals for all the stored days."""
@@ -638,10 +706,12 @@ def stream_ad_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
         layout.sales_partition,
         "date_key",
     )
-    drop_csv(source(spark, sf_dir, "event_spend"), incoming, "daily_ad_spend_new", files=1)
+    # Each file is a complete statement of its days, so a day goes to one file.
+    day = F.coalesce(parse_ambiguous_date(F.col("event_date")).cast("string"), F.xxhash64("event_date", "cost").cast("string"))
+    drop_csv(source(spark, sf_dir, "event_spend"), incoming, "daily_ad_spend_new", day)
     _drain(spark, incoming, layout)
     corrected = source(spark, sf_dir, "daily_ad_spend").withColumn("cost", F.lit("2.5"))
-    drop_csv(corrected, incoming, "daily_ad_spend_corrected", files=1)
+    drop_csv(corrected, incoming, "daily_ad_spend_corrected", day)
     _drain(spark, incoming, layout)
     return portable(read_served(spark, layout, "fact_ad_spend"))
 
@@ -673,3 +743,35 @@ def end_to_end_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     build_dims(spark, layout)
     tables, _missing = served_tables(spark, layout)
     return quality.table_counts(tables)
+
+
+@query
+def rerun_after_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily metrics after a batch run, drops of all sales under doubled ids, and a second batch run."""
+    src, layout = scratch_path(spark, "sources"), Layout(scratch_path(spark, "lakehouse"))
+    write_csv_sources(spark, sf_dir, src, CSV_SOURCES)
+    run_pipeline(spark, src, layout)
+    incoming = scratch_path(spark, "incoming")
+    drop_csv(doubled_sales(spark, sf_dir), incoming, "sales_dump_doubled")
+    _drain(spark, incoming, layout)
+    run_pipeline(spark, src, layout)
+    return portable(read_served(spark, layout, "fact_marketing_performance"))
+
+
+@query
+def late_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live sales of users who are listed only by the next batch run: each has its user after it."""
+    src, layout = scratch_path(spark, "sources"), Layout(scratch_path(spark, "lakehouse"))
+    write_csv_sources(spark, sf_dir, src, [n for n in CSV_SOURCES if n not in ("sales_dump", "crm_users_export")])
+    sales, users = source(spark, sf_dir, "sales_dump"), source(spark, sf_dir, "crm_users_export")
+    early = F.pmod(F.xxhash64(F.trim("user_id")), F.lit(2)) == 0
+    users.where(early).write.options(**CSV_OPTIONS).csv(f"{src}/crm_users_export.csv")
+    sales.limit(0).write.options(**CSV_OPTIONS).csv(f"{src}/sales_dump.csv")
+    run_pipeline(spark, src, layout)
+    incoming = scratch_path(spark, "incoming")
+    drop_csv(sales, incoming, "sales_dump")
+    _drain(spark, incoming, layout)
+    users.where(~early).write.mode("append").options(**CSV_OPTIONS).csv(f"{src}/crm_users_export.csv")
+    run_pipeline(spark, src, layout)
+    known = read_served(spark, layout, "dim_user").select("user_key", "user_id")
+    return portable(read_sales(spark, layout).join(known, "user_key").select("sale_id", "date_key", "user_id", "amount"))
