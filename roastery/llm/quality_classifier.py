@@ -1,7 +1,7 @@
-"""Text quality by a factorisation machine over hashed words, structure and length.
+"""Text quality by a factorisation machine over hashed words, structure and metadata.
 
 A document is a sparse vector: its words, hashed and weighted by their share of the
-text, and standardised figures on its structure and size.  The score is a logistic
+text, and standardised figures on its structure and size and on the length its metadata state.  The score is a logistic
 function of a linear part and of all pairwise interactions, whose weights are inner
 products of low-rank vectors; half the square of their sum less the sum of their squares
 gives all pairs in time linear in the features.
@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,8 @@ for _i, _c in enumerate(_CLASSES):
 _N_CLASSES = len(_CLASSES) + 5
 _LINE_ENDS = np.zeros(256, bool)
 _LINE_ENDS[10] = True
-STRUCTURE = _N_CLASSES + 7
+METADATA = 3
+STRUCTURE = _N_CLASSES + 7 + METADATA
 
 
 def _distinct_share(owner: np.ndarray, hashes: np.ndarray, texts: int, counts: np.ndarray) -> np.ndarray:
@@ -50,6 +52,16 @@ def _distinct_share(owner: np.ndarray, hashes: np.ndarray, texts: int, counts: n
     return np.bincount(o[new], minlength=texts) / np.maximum(counts, 1)
 
 
+def metadata(texts: pa.Array, stated: np.ndarray | None) -> np.ndarray:
+    """Figures on ``n_chars`` as stated (NaN: not at all, which gives zeros): that it is, its size, and how far it is from the text's."""
+    if stated is None:
+        return np.zeros((len(texts), METADATA))
+    known = ~np.isnan(stated)
+    size = np.where(known, np.log1p(np.maximum(np.nan_to_num(stated), 0)), 0)
+    own = np.log1p(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(float))
+    return np.column_stack([known, size, np.where(known, size - own, 0)])
+
+
 def structure(texts: pa.Array, words: W.Words, hashes: np.ndarray) -> np.ndarray:
     """Figures on the form of each text: shares of byte classes, word shapes, repetition, size."""
     n = len(words.first) - 1
@@ -106,11 +118,12 @@ class Machine:
     mean: np.ndarray
     scale: np.ndarray
 
-    def features(self, texts: pa.Array) -> Sparse:
+    def features(self, texts: pa.Array, stated: np.ndarray | None = None) -> Sparse:
         words = W.split(texts, lower=True)
         hashes = words.hashes()
         found = hashed_words(words, hashes)
-        figures = np.clip((structure(texts, W.split(texts), hashes) - self.mean) / self.scale, -4, 4)
+        whole = np.hstack([structure(texts, W.split(texts), hashes), metadata(texts, stated)])
+        figures = np.clip((whole - self.mean) / self.scale, -4, 4)
         n, width = figures.shape
         rows = np.concatenate([found.rows, np.repeat(np.arange(n), width)])
         features = np.concatenate([found.features, np.tile(np.arange(width) + (1 << WORD_BITS), n)])
@@ -123,8 +136,8 @@ class Machine:
         squares = np.bincount(x.rows, (vectors**2).sum(axis=1), x.size)
         return self.bias + np.bincount(x.rows, self.linear[x.features] * x.values, x.size) + (np.square(sums).sum(axis=1) - squares) / 2, sums
 
-    def score(self, texts: pa.Array) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.raw(self.features(texts))[0], -30, 30)))
+    def score(self, texts: pa.Array, stated: np.ndarray | None = None) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.raw(self.features(texts, stated))[0], -30, 30)))
 
 
 def _rows(x: Sparse, edges: np.ndarray, chosen: np.ndarray) -> Sparse:
@@ -133,11 +146,19 @@ def _rows(x: Sparse, edges: np.ndarray, chosen: np.ndarray) -> Sparse:
     return Sparse(np.repeat(np.arange(len(chosen)), [len(p) for p in parts]), x.features[at], x.values[at], len(chosen))
 
 
-def fit(sample: list[tuple[str, int]], rank: int = RANK, epochs: int = EPOCHS, seed: int = 7, rate: float = 0.1, decay: float = 1e-5) -> Machine:
-    """Logistic loss, adaptive gradient steps.  With no sample, or one label only, the score is a smoothed prior."""
+def _in_chunks(sample: list[tuple]) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Texts and stated lengths of a sample, a chunk at a time."""
+    stated = pa.array([row[2] if len(row) > 2 else None for row in sample], pa.float64())
+    whole = pa.record_batch([pa.array([row[0] for row in sample], pa.string()), stated], ["text", "stated"])
+    for part in W.chunks(whole, "text"):
+        yield part.column("text"), pc.fill_null(part.column("stated"), float("nan")).to_numpy(zero_copy_only=False)
+
+
+def fit(sample: list[tuple], rank: int = RANK, epochs: int = EPOCHS, seed: int = 7, rate: float = 0.1, decay: float = 1e-5) -> Machine:
+    """Logistic loss, adaptive gradient steps; ``sample`` has text, label and perhaps ``n_chars``.  With no sample, or one label only, the score is a smoothed prior."""
     size = (1 << WORD_BITS) + STRUCTURE
     rng = np.random.default_rng(seed)
-    labels = np.array([y for _, y in sample], float)
+    labels = np.array([row[1] for row in sample], float)
     machine = Machine(
         float(np.log((labels.sum() + 1) / (len(labels) - labels.sum() + 1))),
         np.zeros(size),
@@ -148,13 +169,19 @@ def fit(sample: list[tuple[str, int]], rank: int = RANK, epochs: int = EPOCHS, s
     if len(set(labels.tolist())) < 2:
         machine.vectors[:] = 0
         return machine
-    texts = pa.array([t for t, _ in sample], pa.string())
-    words = W.split(texts)
-    figures = structure(texts, words, W.split(texts, lower=True).hashes())
+    figures = [
+        np.hstack([structure(texts, W.split(texts), W.split(texts, lower=True).hashes()), metadata(texts, stated)])
+        for texts, stated in _in_chunks(sample)
+    ]
+    figures = np.concatenate(figures)
     machine.mean, machine.scale = figures.mean(axis=0), figures.std(axis=0) + 1e-3
-    x = machine.features(texts)
-    order = np.argsort(x.rows, kind="stable")
-    x = Sparse(x.rows[order], x.features[order], x.values[order], x.size)
+    parts, base = [], 0
+    for texts, stated in _in_chunks(sample):
+        part = machine.features(texts, stated)
+        order = np.argsort(part.rows, kind="stable")
+        parts.append(((part.rows[order] + base).astype(np.int32), part.features[order].astype(np.int32), part.values[order]))
+        base += part.size
+    x = Sparse(*[np.concatenate(column) for column in zip(*parts)], base)
     edges = np.searchsorted(x.rows, np.arange(x.size + 1))
     seen = [np.full_like(machine.linear, 1e-6), np.full_like(machine.vectors, 1e-6)]
     for _ in range(epochs):
@@ -185,19 +212,22 @@ def classify(
 ) -> DataFrame:
     """Per document: ``doc_id, held_out, score, predicted``.
 
-    ``score`` rises with the chance of label 1, and ``predicted`` is 1 from ``threshold`` on.  Only
-    the text is an input.  NULL and empty texts get the score of a text without words;
-    rows are scored one by one, so repeated rows and NULL ids pass as they are, and an empty
-    table gives no rows.  Columns other than ``doc_id`` and ``text`` are not read.
+    ``score`` rises with the chance of label 1, and ``predicted`` is 1 from ``threshold`` on.  The text
+    and ``n_chars``, if there is such a column, are the inputs.  A text that is NULL or empty gets the score of a text
+    without words, a NULL ``n_chars`` says nothing; texts are read whole.  Rows are scored one by one, so
+    repeated rows and NULL ids pass as they are, and an empty table gives no rows.  Other columns are not read.
     """
-    machine = docs.sparkSession.sparkContext.broadcast(fit(training_sample(docs, labels, label, modulus, remainder)))
+    stated = F.expr("try_cast(n_chars as double)") if "n_chars" in docs.columns else F.lit(None).cast("double")
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", stated.alias("n_chars"))
+    machine = docs.sparkSession.sparkContext.broadcast(fit(training_sample(read, labels, label, modulus, remainder, more=("n_chars",))))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.chunks(batch, "text"):
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(machine.value.score(part.column("text")))], ["doc_id", "score"])
+                known = pc.fill_null(part.column("n_chars"), float("nan")).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(machine.value.score(part.column("text"), known))], ["doc_id", "score"])
 
-    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, "doc_id long, score double")
+    scored = read.mapInArrow(score, "doc_id long, score double")
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id"), modulus, remainder).alias("held_out"),

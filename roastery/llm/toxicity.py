@@ -20,7 +20,7 @@ runs as one product of two-by-two matrices, which a document's first token reset
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,6 +37,7 @@ THRESHOLD = 0.7
 SPAN_AT = 0.5  # marginal from which a token belongs to a span
 MODULUS, HELD_OUT = 3, 1
 STEPS = 60
+SLICES = 4  # parts of a kind's forms that are counted at once
 
 
 @dataclass
@@ -157,29 +158,58 @@ def figures(tokens: Tokens, chance: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(n), np.log1p(np.bincount(owner, chance, n)), most])
 
 
-def token_labels(tokens: Tokens, toxic: np.ndarray) -> np.ndarray:
+@dataclass
+class Sample:
+    """The tokens of all sampled texts: their forms, contexts and texts.  Made a chunk of texts at a time."""
+
+    texts: list[pa.Array]
+    forms: np.ndarray  # a row for each kind
+    around: np.ndarray  # hash of a token's neighbours
+    owner: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Sample:
+        whole = pa.record_batch([pa.array(texts, pa.string())], ["text"])
+        chunks = [part.column("text") for part in W.chunks(whole, "text")]
+        return cls.join(chunks, (Tokens.of(chunk) for chunk in chunks))
+
+    @classmethod
+    def join(cls, chunks: list[pa.Array], parts: Iterable[Tokens]) -> Sample:
+        forms, around, owner, at = [], [], [], 0
+        a, b = W.constants(2, 35)
+        for tokens in parts:
+            before, after = tokens.neighbours()
+            forms.append(np.stack(tokens.forms))
+            around.append(W.mix(before * a + after * b))
+            owner.append((tokens.words.owner() + at).astype(np.int32))
+            at += len(tokens.words.first) - 1
+        return cls(chunks, np.concatenate(forms, axis=1), np.concatenate(around), np.concatenate(owner))
+
+
+def token_labels(tokens: Tokens | Sample, toxic: np.ndarray) -> np.ndarray:
     """Which tokens are toxic, given which documents are."""
-    owner = tokens.words.owner()
-    before, after = tokens.neighbours()
-    a, b = W.constants(2, 35)
-    around = W.mix(before * a + after * b)
+    sample = tokens if isinstance(tokens, Sample) else Sample.join([], [tokens])
+    owner = sample.owner
     of_toxic = toxic[owner]
-    tables = []
-    for form in tokens.forms:
-        real = form != 0
-        # Distinct (form, context), with their class; then distinct (form, document).
-        contexts = _distinct(form[real], around[real], of_toxic[real])
-        documents = _distinct(form[real], owner[real].astype(np.uint64), of_toxic[real])
-        names, place = np.unique(np.concatenate([contexts[0], documents[0]]), return_inverse=True)
-        in_contexts, in_documents = place[: len(contexts[0])], place[len(contexts[0]) :]
-        count = lambda at, flag: np.bincount(at, flag.astype(float), len(names))
-        seen = np.minimum(count(in_contexts, np.ones(len(in_contexts))), count(in_documents, np.ones(len(in_documents))))
-        tables.append((names, count(in_contexts, contexts[1]), count(in_contexts, ~contexts[1]), count(in_documents, documents[1]), seen))
+    tables = []  # of each kind and share of its forms; no form is in two
+    for kind, form in enumerate(sample.forms):
+        share = np.where(form != 0, form % np.uint64(SLICES), SLICES).astype(np.uint8)
+        for slice_ in range(SLICES):
+            real = np.flatnonzero(share == slice_)
+            # Distinct (form, context), with their class; then distinct (form, document).
+            contexts = _distinct(form[real], sample.around[real], of_toxic[real])
+            documents = _distinct(form[real], owner[real].astype(np.uint64), of_toxic[real])
+            names, place = np.unique(np.concatenate([contexts[0], documents[0]]), return_inverse=True)
+            in_contexts, in_documents = place[: len(contexts[0])], place[len(contexts[0]) :]
+            count = lambda at, flag: np.bincount(at, flag, len(names)).astype(np.int32)
+            seen = np.minimum(count(in_contexts, None), count(in_documents, None))
+            yes, docs = count(in_contexts, contexts[1]), count(in_documents, documents[1])
+            tables.append((kind, names, yes, count(in_contexts, ~contexts[1]), docs, seen))
     common = np.concatenate([seen for *_, seen in tables])
     least = evidence(common, toxic.mean())
     marked = np.zeros(len(owner), bool)
-    for form, (names, yes, no, docs, _) in zip(tokens.forms, tables):
-        marked |= np.isin(form, names[(np.minimum(yes, docs) >= least) & (no <= 0.02 * yes)])
+    for kind, names, yes, no, docs, _ in tables:
+        marked |= _among(sample.forms[kind], names[(np.minimum(yes, docs) >= least) & (no <= 0.02 * yes)])
     # Toxic documents not reached so: the form without other contexts that reaches most of them, and again.
     while True:
         missed = toxic.copy()
@@ -188,18 +218,26 @@ def token_labels(tokens: Tokens, toxic: np.ndarray) -> np.ndarray:
             break
         least = evidence(common, missed.sum() / (missed.sum() + (~toxic).sum()))
         best = (0, 0, 0)
-        for kind, (form, (names, yes, no, docs, _)) in enumerate(zip(tokens.forms, tables)):
-            at = missed[owner] & np.isin(form, names[(np.minimum(yes, docs) >= least) & (no == 0)])
+        for kind, names, yes, no, docs, _ in tables:
+            form = sample.forms[kind]
+            at = missed[owner] & _among(form, names[(np.minimum(yes, docs) >= least) & (no == 0)])
             found = np.unique(np.stack([form[at], owner[at].astype(np.uint64)], 1), axis=0)[:, 0]
             if len(found):
                 reached, docs = np.unique(found, return_counts=True)
                 best = max(best, (int(docs.max()), kind, reached[docs.argmax()]))
         if best[0] < least:
             break
-        marked |= tokens.forms[best[1]] == best[2]
+        marked |= sample.forms[best[1]] == best[2]
     return marked & of_toxic
 
 
+def _among(values: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Which values are among ``names``, which are in order."""
+    if not len(names):
+        return np.zeros(len(values), bool)
+    return names[np.minimum(np.searchsorted(names, values), len(names) - 1)] == values
+
+
 def evidence(seen: np.ndarray, share: float) -> int:
     """How many documents must have a form, all of them of a class with this ``share``, for chance to bring about no more than half a form."""
     least = 2
@@ -221,35 +259,28 @@ def fit(sample: list[tuple[str, int]], steps: int = STEPS, rate: float = 1.0, de
     field = Field(np.zeros((1 << BITS) + 1), -8.0, np.zeros(2), np.zeros((2, 2)), np.array([prior, 0.0, 0.0]))
     if labels.all() or not labels.any():
         return field
-    texts = pa.array([t for t, _ in sample], pa.string())
-    tokens = Tokens.of(texts)
+    tokens = Sample.of([t for t, *_ in sample])
     marks = token_labels(tokens, labels)
     # All toxic documents and as many others teach the chain, these in the order of a hash: the sample comes by id.
     calm = np.array(sorted(np.flatnonzero(~labels).tolist(), key=lambda i: hashlib.md5(sample[i][0].encode()).digest()))[: int(labels.sum())]
     taught = np.isin(np.arange(len(labels)), calm) | labels
-    used = taught[tokens.words.owner()]
-    features = tokens.features()[:, used]
-    truth = marks[used].astype(float)
-    owner = tokens.words.owner()[used]
-    starts = np.flatnonzero(np.diff(owner, prepend=-1))
-    tags = marks[used].astype(int)
-    inside = np.ones(len(tags), bool)
-    inside[starts] = False
-    follow = np.flatnonzero(inside)
-    seen_pairs = np.bincount(tags[follow - 1] * 2 + tags[follow], minlength=4).reshape(2, 2)
-    seen_first = np.bincount(tags[starts], minlength=2)
+    owner, texts = tokens.owner, tokens.texts
+    del tokens
+    lessons = list(_lessons(texts, owner, taught, marks))
+    seen_pairs = sum(np.bincount(tags[at - 1] * 2 + tags[at], minlength=4) for *_, tags, at in lessons).reshape(2, 2)
+    seen_first = sum(np.bincount(tags[starts], minlength=2) for _, starts, tags, _ in lessons)
     # Steps start damped, so that frequent harmless features do not run ahead of the telling ones.
-    damp = 1 + 0.4 * float(truth.sum())
+    damp = 1 + 0.4 * float(sum(tags.sum() for *_, tags, _ in lessons))
     totals = [np.full_like(field.weights, damp), damp, np.full(2, damp), np.full((2, 2), damp)]
     for _ in range(steps):
-        chance, pairs = field.marginals(features, starts, pairs=True)
-        wrong = chance - truth
-        pulls = [
-            np.bincount(features.ravel(), np.tile(wrong, len(features)), len(field.weights)) + decay * field.weights,
-            wrong.sum(),
-            np.array([(1 - chance[starts]).sum(), chance[starts].sum()]) - seen_first,
-            pairs - seen_pairs,
-        ]
+        pulls = [decay * field.weights, 0.0, -seen_first.astype(float), -seen_pairs.astype(float)]
+        for features, starts, tags, _ in lessons:
+            chance, pairs = field.marginals(features, starts, pairs=True)
+            wrong = chance - tags
+            pulls[0] += np.bincount(features.ravel(), np.tile(wrong, len(features)), len(field.weights))
+            pulls[1] += wrong.sum()
+            pulls[2] += np.array([(1 - chance[starts]).sum(), chance[starts].sum()])
+            pulls[3] += pairs
         pulls[0][0] = 0
         for i, pull in enumerate(pulls):
             totals[i] = totals[i] + pull**2
@@ -257,8 +288,8 @@ def fit(sample: list[tuple[str, int]], steps: int = STEPS, rate: float = 1.0, de
         field.bias -= rate * float(pulls[1] / np.sqrt(totals[1]))
         field.first -= rate * pulls[2] / np.sqrt(totals[2])
         field.ties -= rate * pulls[3] / np.sqrt(totals[3])
-    chance = field.marginals(tokens.features(), tokens.words.first[:-1][tokens.words.counts() > 0])[0]
-    shown = figures(tokens, chance)
+    del lessons
+    shown = np.concatenate([figures(*field.tag(chunk)) for chunk in texts])
     for _ in range(25):  # Newton steps with a little decay
         p = 1 / (1 + np.exp(-np.clip(shown @ field.document, -30, 30)))
         pull = shown.T @ (p - labels) + 0.1 * np.array([0, 1, 1]) * field.document
@@ -267,6 +298,20 @@ def fit(sample: list[tuple[str, int]], steps: int = STEPS, rate: float = 1.0, de
     return field
 
 
+def _lessons(texts: list[pa.Array], owner: np.ndarray, taught: np.ndarray, marks: np.ndarray) -> Iterator[tuple]:
+    """Chunk by chunk, of the documents that teach: features, first tokens, tags, and the tokens that follow another."""
+    token = 0
+    for chunk in texts:
+        tokens = Tokens.of(chunk)
+        end = token + len(tokens.words)
+        used = taught[owner[token:end]]
+        if used.any():
+            own = owner[token:end][used]
+            first = np.diff(own, prepend=-1) != 0
+            yield tokens.features()[:, used].astype(np.int32), np.flatnonzero(first), marks[token:end][used].astype(np.int8), np.flatnonzero(~first)
+        token = end
+
+
 def spans(tokens: Tokens, chance: np.ndarray, least: float) -> list[list[dict]]:
     """Runs of likely toxic tokens of each document, in code points ``[start, end)``."""
     words = tokens.words
