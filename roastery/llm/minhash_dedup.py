@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from roastery.llm import words as W
 from roastery.llm.components import components
-from roastery.storage import materialize
+from roastery.storage import materialize, scratch_path, scratch_scope
 
 SHINGLE = 5
 SIMILARITY = (80, 100)
@@ -49,7 +49,7 @@ HEAD_ROUNDS = 2
 HEADS = 8  # of a key, from the second round on
 FEW_PAIRS = 4  # per member, compared directly
 BROADCAST_ROWS = 1_000_000  # of one long
-LAST = 2**63 - 1
+NAMELESS = 2**62  # nodes from here on are rows without id
 
 
 def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
@@ -156,18 +156,17 @@ def least_agreement(similarity: float, functions: int, bits: int, sigmas: float
 
 
 def _sharpened(rest: DataFrame, involved: DataFrame, shingle: int, bits: int) -> DataFrame:
-    """``rest`` with ``long``, the low bits of ``SHARPER`` other minima."""
+    """``id, long``: the low bits of ``SHARPER`` other minima of the members of ``rest``."""
     functions = W.constants(SHARPER, 83)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.chunks(batch, "text"):
                 signs = [packed(minima(found, functions), bits).view(np.int64) for found in shingle_sets(part.column("text"), shingle)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(signs, pa.list_(pa.int64()))], ["rep", "long"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(signs, pa.list_(pa.int64()))], ["id", "long"])
 
     members = rest.select(F.col("rep").alias("id")).distinct()
-    signed = _only(involved.select("id", "text"), members).mapInArrow(sign, "rep long, long array<long>")
-    return rest.join(materialize(signed, "sharpened"), "rep")
+    return materialize(_only(involved.select("id", "text"), members).mapInArrow(sign, "id long, long array<long>"), "sharpened")
 
 
 def _confirm(shingle: int, similarity: tuple[int, int]):
@@ -242,99 +241,112 @@ def near_duplicates(
     ``similarity[1] * |intersection| >= similarity[0] * |union|`` are linked;
     ``component_id`` is the smallest id reachable and ``kept`` marks the document with it.
     A text of fewer words is one shingle; NULL, empty and blank texts have none and are
-    linked with nothing.  Rows with one id count as one document.  Rows without an
-    id are linked like others but never give their component its name; a component
-    of only such rows has a NULL ``component_id`` and keeps all its rows.  Other
-    columns of ``docs`` are not read, whatever their names.
+    linked with nothing.  Rows with one id count as one document.  A row without an
+    id is linked like others, by its own text, but never gives its component its name; a component
+    of only such rows has a NULL ``component_id`` and keeps all its rows.  Ids are below 2**62.  Texts are read
+    whole, whatever their length; an empty table gives no rows.  Other columns of ``docs`` are not read, whatever their names.
     """
-    longs = functions * bits // 64
     spark = docs.sparkSession
-    texts = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)).alias("id"), F.col(text_column).alias("text"))
+    name, text = F.col(id_column).cast("long"), F.col(text_column)
+    # A row without id is a node of its own text: the same on every evaluation, and after all ids.
+    nameless = F.lit(NAMELESS) + F.shiftrightunsigned(F.xxhash64(text, F.length(text)), 3)
+    texts = docs.select(F.coalesce(name, nameless).alias("id"), text.alias("text"))
     signed = materialize(
         texts.mapInArrow(_sign(shingle, bands, rows, bits, functions), "id long, n long, d1 long, d2 long, bands array<long>, bits array<long>"),
         "signatures",
     )
     classes = signed.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
     classes = materialize(classes, "classes")
+    stored = scratch_path(spark, "components")
+    with scratch_scope(spark, "minhash"):
+        _links(texts, classes, shingle, similarity, bits, functions).write.parquet(stored)
+    found = spark.read.schema("node long, component long").parquet(stored)
 
+    named = classes.select("n", "d1", "d2", "rep").join(found, F.col("rep") == F.col("node"), "left")
+    named = named.select("n", "d1", "d2", F.coalesce("component", "rep").alias("component"))
+    result = signed.select("id", "n", "d1", "d2").join(named, ["n", "d1", "d2"], "left")
+    result = result.withColumn("component", F.coalesce("component", "id"))
+    real = lambda c: F.when(F.col(c) < NAMELESS, F.col(c))
+    return result.select(
+        real("id").alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        real("component").alias("component_id"),
+        ((F.col("id") == F.col("component")) | (F.col("component") >= NAMELESS)).alias("kept"),
+    )
+
+
+def _links(texts: DataFrame, classes: DataFrame, shingle: int, similarity: tuple[int, int], bits: int, functions: int) -> DataFrame:
+    """``node, component`` of the classes that are linked with others.
+
+    The members of a key are rows of a few numbers; signatures and texts are joined to candidate pairs, each
+    of which comes once however many keys it shares.
+    """
+    spark, longs = texts.sparkSession, functions * bits // 64
     keys = classes.select("rep", F.explode("bands").alias("k"))
     crowded = keys.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("k")
     shared = materialize(keys.join(crowded, "k").distinct(), "shared")
-    involved = materialize(
-        _only(texts, shared.select(F.col("rep").alias("id")).distinct())
-        .join(_only(classes.withColumnRenamed("rep", "id"), shared.select(F.col("rep").alias("id")).distinct()).select("id", "n", "bits"), "id")
-        .distinct(),
-        "involved",
-    )
-    signs = involved.select("id", "n", "bits")
+    members = shared.select(F.col("rep").alias("id")).distinct()
+    signs = materialize(_only(classes.withColumnRenamed("rep", "id"), members).select("id", "n", "bits"), "signs")
+    involved = materialize(_only(texts, members).distinct(), "involved")
     enough = least_agreement(similarity[0] / similarity[1], functions, bits)
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        likely = materialize(pairs.distinct(), "likely")
-        with_b = likely.join(involved.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-        with_both = with_b.join(involved.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-        return with_both.mapInArrow(_confirm(shingle, similarity), "a long, b long")
+    def with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+        for side in ("a", "b"):
+            pairs = pairs.join(table.select(F.col("id").alias(side), F.col(column).alias(f"{column}_{side}")), side)
+        return pairs
+
+    def likely(pairs: DataFrame, sharper: DataFrame | None) -> DataFrame:
+        """Candidate pairs whose packed minima leave a link possible."""
+        agree = agreement(F.col("bits_a"), F.col("bits_b"), longs, bits)
+        left = with_both(pairs, signs, "bits").where(agree >= enough).select("a", "b")
+        if sharper is None:
+            return left
+        agree = long_agreement(F.col("long_a"), F.col("long_b"), bits)
+        return with_both(left, sharper, "long").where(agree >= least_agreement(similarity[0] / similarity[1], SHARPER, bits)).select("a", "b")
+
+    def confirmed(pairs: DataFrame, sharper: DataFrame | None) -> DataFrame:
+        candidates = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+        return with_both(materialize(likely(candidates, sharper), "likely"), involved, "text").mapInArrow(_confirm(shingle, similarity), "a long, b long")
 
     def possible(x: str, y: str) -> Column:
-        """Whether two members of a key may be linked: other components, sizes, shared shingles and packed minima."""
+        """Whether two members of a key may be linked: other components, sizes and shared shingles."""
         common = F.least(F.col(f"{x}.m"), F.col(f"{y}.m"))
         by_sets = similarity[1] * common >= similarity[0] * (F.col(f"{x}.n") + F.col(f"{y}.n") - common)
-        agree = agreement(F.col(f"{x}.bits"), F.col(f"{y}.bits"), longs, bits)
-        return (F.col(f"{x}.c") != F.col(f"{y}.c")) & by_sets & (agree >= enough)
-
-    def sharply(x: str, y: str) -> Column:
-        """Whether the long signatures leave a link possible; true where there are none yet."""
-        agree = long_agreement(F.col(f"{x}.long"), F.col(f"{y}.long"), bits)
-        return F.coalesce(agree >= least_agreement(similarity[0] / similarity[1], SHARPER, bits), F.lit(True))
+        return (F.col(f"{x}.c") != F.col(f"{y}.c")) & by_sets
 
     def mixed(members: DataFrame) -> DataFrame:
         """Members of keys with more than one component."""
         several = members.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("k")
         return members.join(several, "k", "left_semi")
 
-    found = spark.createDataFrame([], "node long, component long")
-    columns = ["k", "rep", "n", "m", "bits", "long"]
-    rest = shared.join(signs, F.col("rep") == F.col("id")).withColumns({"m": F.col("n"), "long": F.lit(None).cast("array<long>")}).select(columns)
+    found, sharper = spark.createDataFrame([], "node long, component long"), None
+    columns = ["k", "rep", "n", "m"]
+    rest = shared.join(signs, F.col("rep") == F.col("id")).withColumn("m", F.col("n")).select(columns)
     for turn in range(HEAD_ROUNDS + 1):
         labelled = rest.join(found, F.col("rep") == F.col("node"), "left").select(*columns, F.coalesce("component", "rep").alias("c"))
         rest = materialize(mixed(labelled), "mixed")
         if turn == 1:
             rest = materialize(mixed(_linkable(rest, involved, shingle, similarity)), "linkable")
-            rest = materialize(_sharpened(rest.drop("long"), involved, shingle, bits), "mixed")
+            sharper = _sharpened(rest, involved, shingle, bits)
         sizes = rest.groupBy("k", "c").agg(F.count(F.lit(1)).alias("s")).groupBy("k").agg(F.sum("s").alias("s"), F.sum(F.col("s") * F.col("s")).alias("q"))
         members, pairs_left = sizes.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
         if not members:
             break
         direct = turn == HEAD_ROUNDS or (turn and pairs_left <= FEW_PAIRS * members)
         if direct:
-            # A pair counts in the first key it shares only, so it comes once however many it shares.
-            known = rest.join(classes.select("rep", "bands").join(rest.select("rep").distinct(), "rep", "left_semi"), "rep")
-            same = F.zip_with("x.bands", "y.bands", lambda p, q: F.when(p == q, p))
-            first = F.get(F.filter(same, lambda p: p.isNotNull()), F.lit(0)) == F.col("x.k")
             of_key = (F.col("x.k") == F.col("y.k")) & (F.col("x.rep") < F.col("y.rep"))
-            pairs = known.alias("x").join(known.alias("y"), of_key & possible("x", "y") & first & sharply("x", "y"))
+            pairs = rest.alias("x").join(rest.alias("y"), of_key & possible("x", "y"))
             pairs = pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
         else:
             # The smallest of each slot: few shingles of its own first, which are none before they are counted.
-            order = F.struct(((F.col("n") - F.col("m")) / F.col("n")).alias("own"), F.xxhash64("rep", F.lit(turn)).alias("o"), "rep", "c", "n", "m", "bits", "long")
+            order = F.struct(((F.col("n") - F.col("m")) / F.col("n")).alias("own"), F.xxhash64("rep", F.lit(turn)).alias("o"), "rep", "c", "n", "m")
             slot = F.pmod(F.xxhash64("rep", F.lit(turn + HEAD_ROUNDS)), F.lit(HEADS if turn else 1))
             heads = materialize(rest.groupBy("k", slot.alias("slot")).agg(F.min(order).alias("h")).select("k", "h.*"), "heads")
-            pairs = rest.alias("x").join(heads.alias("y"), (F.col("x.k") == F.col("y.k")) & possible("x", "y") & sharply("x", "y"))
+            pairs = rest.alias("x").join(heads.alias("y"), (F.col("x.k") == F.col("y.k")) & possible("x", "y"))
             pairs = pairs.select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"))
             rest = rest.join(heads.select("k", "rep"), ["k", "rep"], "left_anti").select(columns)
         known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        found = components(confirmed(pairs).unionAll(known))
+        found = components(confirmed(pairs, sharper).unionAll(known))
         if direct:
             break
-
-    named = classes.select("n", "d1", "d2", "rep").join(found, F.col("rep") == F.col("node"), "left")
-    named = named.select("n", "d1", "d2", F.coalesce("component", "rep").alias("component"))
-    result = signed.select("id", "n", "d1", "d2").join(named, ["n", "d1", "d2"], "left")
-    result = result.withColumn("component", F.coalesce("component", "id"))
-    real = lambda c: F.when(F.col(c) != LAST, F.col(c))
-    return result.select(
-        real("id").alias("doc_id"),
-        F.col("n").alias("n_shingles"),
-        real("component").alias("component_id"),
-        (F.col("id") == F.col("component")).alias("kept"),
-    )
+    return found

@@ -13,8 +13,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 CHUNK_BYTES = 1 << 20
+LONG = 64  # bytes of a word
 #: Bytes between words: space and the ASCII white space.
 SPACES = np.zeros(256, bool)
 SPACES[[32, *range(9, 14)]] = True
@@ -75,8 +77,15 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts())
 
     def hashes(self, lane: int = 0) -> np.ndarray:
-        """One number per word, equal for equal words."""
-        return self.prefixes([len(self.data)], lane)[0]
+        """One number per word, equal for equal words.
+
+        Polynomials modulo 2**64 meet for long words of a certain pattern, so words beyond ``LONG`` bytes,
+        which prose hardly has, are hashed one by one.
+        """
+        out = self.prefixes([len(self.data)], lane)[0]
+        for i in np.flatnonzero(self.ends - self.starts > LONG).tolist():
+            out[i] = xxhash.xxh3_64_intdigest(self.data[self.starts[i] : self.ends[i]], seed=lane + 1)
+        return out
 
     def prefixes(self, lengths: list[int], lane: int = 0) -> list[np.ndarray]:
         """For each length, one number per word for its first so many bytes (or the whole word)."""
