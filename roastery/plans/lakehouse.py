@@ -51,6 +51,8 @@ from roastery.storage import (
 SNAPSHOT_TABLES = ("fact_ad_spend", "fact_marketing_performance")
 #: Batches of day measures that are added up when read; beyond, they are folded into their base.
 OPEN_DELTAS = 32
+#: Parts of live sales of one size that are merged into a larger one.
+FAN_IN = 8
 _turns: dict[str, threading.RLock] = {}
 _turns_guard = threading.Lock()
 
@@ -137,9 +139,89 @@ def with_sales_partition(sales: DataFrame) -> DataFrame:
     return sales.withColumn("month_key", F.expr("date_key div 100").cast("int"))
 
 
+def _live_folder(layout: Layout) -> str:
+    return layout.serving("_live_sales")
+
+
+def _live_state(spark: SparkSession, layout: Layout) -> dict:
+    """``merged``: the merged parts that are read.  ``replaced``: parts that these hold, and since when."""
+    state = read_text(spark, f"{_live_folder(layout)}/PARTS")
+    return json.loads(state) if state else {"merged": [], "replaced": {}}
+
+
+def live_parts(spark: SparkSession, layout: Layout) -> list[str]:
+    """Names of the parts that live sales are read from: merged ones, and batches that none of them holds yet."""
+    folder = _live_folder(layout)
+    if not path_exists(spark, folder):
+        return []
+    state = _live_state(spark, layout)
+    there = [n.removeprefix("part=") for n in list_folder(spark, folder) if n.startswith("part=")]
+    batches = [n for n in there if n.startswith("b-") and n not in state["replaced"] and table_exists(spark, f"{folder}/part={n}")]
+    return [n for n in state["merged"] if n in there] + batches
+
+
+def _read_parts(spark: SparkSession, layout: Layout, parts: list[str]) -> DataFrame:
+    folder = _live_folder(layout)
+    schema = T.StructType([*schemas.STORED_SALES.fields, T.StructField("part", T.StringType())])
+    rows = spark.read.schema(schema).option("basePath", folder).parquet(*[f"{folder}/part={n}" for n in parts])
+    return rows.select(*schemas.STORED_SALES.fieldNames())
+
+
 def stored_sales(spark: SparkSession, layout: Layout) -> DataFrame:
-    """The served sales with their partition, their origin and their pending names."""
-    return read_table(spark, current(spark, layout).serving("fact_sales"), schemas.STORED_SALES)
+    """The served sales with their partition, their origin and their pending names: of the batch run, and live ones."""
+    layout = current(spark, layout)
+    path, parts = layout.serving("fact_sales"), live_parts(spark, layout)
+    if not parts:
+        return read_table(spark, path, schemas.STORED_SALES)
+    live = _read_parts(spark, layout, parts)
+    return read_table(spark, path, schemas.STORED_SALES).unionByName(live) if path_exists(spark, path) else live
+
+
+def has_sales(spark: SparkSession, layout: Layout) -> bool:
+    layout = current(spark, layout)
+    return path_exists(spark, layout.serving("fact_sales")) or bool(live_parts(spark, layout))
+
+
+def append_live(spark: SparkSession, layout: Layout, sales: DataFrame, claim: str) -> int:
+    """Store a batch's sales as a part of its own, under its claim; returns how many were added.
+
+    A part that is complete stays as it is, so the same batch again adds nothing.
+    """
+    path = f"{_live_folder(layout)}/part=b-{claim}"
+    if table_exists(spark, path):
+        return 0
+    return write_table(with_sales_partition(sales), path, layout.sales_partition, "date_key")
+
+
+def merge_parts(spark: SparkSession, layout: Layout, claim: str, keep_hours: float = KEEP_HOURS) -> list[str]:
+    """Unite small parts: ``FAN_IN`` batches to a part, ``FAN_IN`` of these to a larger one, and so on; returns the parts now read.
+
+    So each sale is rewritten a number of times that is logarithmic in the number of batches, and as many
+    parts are read.  The batch ``claim`` and those of other streams are left alone, since they may be
+    repeated.  The parts that a merge replaces stay ``keep_hours`` for readers that have them open.
+    """
+    folder, state = _live_folder(layout), _live_state(spark, layout)
+    stream = claim.rsplit("-", 1)[0]
+    parts = live_parts(spark, layout)
+    done = [n for n in parts if n.startswith("b-") and n.removeprefix("b-").rsplit("-", 1)[0] == stream and n < f"b-{claim}"]
+    tier = 0
+    while len(done) >= FAN_IN:
+        name = f"m{tier + 1}-{uuid.uuid4().hex}"
+        rows = _read_parts(spark, layout, done)
+        write_table(rows, f"{folder}/part={name}", layout.sales_partition, "date_key")
+        state["merged"] = [n for n in state["merged"] if n not in done] + [name]
+        state["replaced"] |= {n: time.time() for n in done}
+        write_text(spark, f"{folder}/PARTS", json.dumps(state))
+        tier += 1
+        done = [n for n in state["merged"] if n.startswith(f"m{tier}-")]
+    oldest = time.time() - 3600 * keep_hours
+    expired = [n for n, since in state["replaced"].items() if since < oldest]
+    for name in expired:
+        delete_folder(spark, f"{folder}/part={name}")
+    if expired:
+        state["replaced"] = {n: since for n, since in state["replaced"].items() if n not in expired}
+        write_text(spark, f"{folder}/PARTS", json.dumps(state))
+    return live_parts(spark, layout)
 
 
 def read_sales(spark: SparkSession, layout: Layout, date_keys: list[int] | None = None) -> DataFrame:
@@ -158,9 +240,11 @@ def read_latest_sales(spark: SparkSession, layout: Layout, n: int) -> DataFrame:
     sales opens the last of them and, only if that has too few rows, twice as many.
     """
     layout = current(spark, layout)
-    column, folder = layout.sales_partition, layout.serving("fact_sales")
+    column, base = layout.sales_partition, layout.serving("fact_sales")
+    folders = [base] if path_exists(spark, base) else []
+    folders += [f"{_live_folder(layout)}/part={n}" for n in live_parts(spark, layout)]
     prefix = f"{column}="
-    values = [name.removeprefix(prefix) for name in list_folder(spark, folder) if name.startswith(prefix)]
+    values = {n.removeprefix(prefix) for folder in folders for n in list_folder(spark, folder) if n.startswith(prefix)}
     newest = sorted((int(v) for v in values if v.isdigit()), reverse=True)
     opened = 1
     while True:
@@ -186,7 +270,7 @@ def read_served(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
 def served_tables(spark: SparkSession, layout: Layout) -> tuple[dict[str, DataFrame], list[str]]:
     """All serving tables that are there, and the names of those that are not."""
     layout = current(spark, layout)
-    present = [n for n in SERVING_KEYS if path_exists(spark, layout.serving(n))]
+    present = [n for n in SERVING_KEYS if path_exists(spark, layout.serving(n)) or (n == "fact_sales" and has_sales(spark, layout))]
     missing = [n for n in SERVING_KEYS if n not in present]
     return {n: read_served(spark, layout, n) for n in present}, missing
 
@@ -209,7 +293,7 @@ def sales_index(spark: SparkSession, layout: Layout) -> KeyIndex:
     known = open_index(spark, root)
     if known is not None:
         return known
-    if path_exists(spark, layout.serving("fact_sales")):
+    if has_sales(spark, layout):
         return build(stored_sales(spark, layout).select("sale_id"), "sale_id", root)
     nothing = spark.createDataFrame([], "sale_id string")
     return build(nothing, "sale_id", root, expected=0)
@@ -223,8 +307,7 @@ def ensure_measures(spark: SparkSession, layout: Layout, rules: Rules = DEFAULT_
     """Add up the stored sales per day once; from then on batches add what they bring."""
     layout = current(spark, layout)
     if head(spark, _measures(layout)) is None:
-        there = path_exists(spark, layout.serving("fact_sales"))
-        base = daily_measures(read_sales(spark, layout), rules) if there else spark.createDataFrame([], schemas.MEASURES)
+        base = daily_measures(read_sales(spark, layout), rules) if has_sales(spark, layout) else spark.createDataFrame([], schemas.MEASURES)
         write_snapshot(_typed(base), _measures(layout), note="[]")
 
 
@@ -381,7 +464,7 @@ def store_batch_rejects(
 
 def live_sales(spark: SparkSession, layout: Layout) -> DataFrame | None:
     """Stored sales that a live batch brought; None if there are no sales."""
-    if not path_exists(spark, layout.serving("fact_sales")):
+    if not has_sales(spark, layout):
         return None
     return stored_sales(spark, layout).where(F.col("origin") == schemas.LIVE)
 
@@ -460,7 +543,7 @@ def build_serving(
     )
     with turn(layout):
         former = current(spark, layout)
-        if former.generation or path_exists(spark, former.serving("fact_sales")):
+        if former.generation or has_sales(spark, former):
             carried = carry_over(spark, former, fresh, rules)
             rows |= carried
             rows["fact_ad_spend"] += carried["live_spend"]
