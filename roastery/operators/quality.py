@@ -172,6 +172,12 @@ def spend_rejects(cleaned: DataFrame) -> DataFrame:
     )
 
 
+def influencer_rejects(campaigns: DataFrame) -> DataFrame:
+    """Campaign rows without an id, or with metadata that is no JSON and so gives the influencer nothing, with the reason."""
+    unread = F.col("metadata").isNotNull() & F.get_json_object("metadata", "$").isNull()
+    return _with_reasons(campaigns, {"no_inf_id": F.col("inf_id").isNull(), "bad_metadata": unread})
+
+
 def _with_reasons(cleaned: DataFrame, reasons: Mapping[str, Column]) -> DataFrame:
     found = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in reasons.items()]))
     return cleaned.withColumn("reason", F.explode(found))

@@ -450,10 +450,14 @@ def build_facts(spark: SparkSession, layout: Layout, rules: Rules = DEFAULT_RULE
 def store_batch_rejects(
     spark: SparkSession, layout: Layout, rules: Rules = DEFAULT_RULES
 ) -> dict[str, int]:
-    """Unusable rows of both raw facts, one row per reason, as batch 0 of the rejects."""
+    """Unusable rows of the raw facts and of the influencers' metadata, one row per reason, replaced by every run."""
     sales = facts.clean_sales(read_table(spark, layout.raw("sales_dump")), rules)
     spend = facts.clean_ad_spend(read_table(spark, layout.raw("daily_ad_spend")), rules)
-    rejected = {"sales_dump": quality.sales_rejects(sales), "daily_ad_spend": quality.spend_rejects(spend)}
+    rejected = {
+        "sales_dump": quality.sales_rejects(sales),
+        "daily_ad_spend": quality.spend_rejects(spend),
+        "influencer_campaigns": quality.influencer_rejects(read_table(spark, layout.raw("influencer_campaigns"))),
+    }
 
     def store(name: str) -> int:
         kept = rejected[name].select(*schemas.SOURCES[name].fieldNames(), "reason")

@@ -31,7 +31,7 @@ LEAD_SOURCE_ALIASES = {
 UNKNOWN_USER = (0, "UNKNOWN", "Unknown", None, None)
 UNKNOWN_PRODUCT = (-1, "N/A", "Unknown Product", 0.0)
 
-# Serving tables and the column that identifies a row in each.
+# The serving tables and the column that identifies a row in each.
 SERVING_KEYS = {
     "dim_user": "user_key",
     "dim_product": "product_key",

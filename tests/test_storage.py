@@ -85,6 +85,16 @@ def test_upsert_modes_are_idempotent(spark):
         up.upsert(base, updates, ["sale_id"], "guess")
 
 
+def test_rows_with_a_null_key_are_not_added_again(spark):
+    base = _sales(spark, ("a", 10, "1"), (None, 10, "2"))
+    updates = _sales(spark, (None, 20, "9"), ("c", 20, "3"))
+    merged = up.upsert(base, updates, ["sale_id"], "merge")
+    assert [(r[0], r[1]) for r in rows(merged)] == [("a", 10), ("c", 20), (None, 20)]
+    added = up.upsert(base, updates, ["sale_id"], "insert_new")
+    assert [(r[0], r[1]) for r in rows(added)] == [("a", 10), ("c", 20), (None, 10)]
+    assert rows(up.upsert(added, updates, ["sale_id"], "insert_new")) == rows(added)
+
+
 def test_last_by_key(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "b"), ("a", 2, "c"), ("b", 0, "z")], "k string, t int, v string")
     assert rows(up.last_by_key(df, ["k"], ["t"])) == [("a", 2, "c"), ("b", 0, "z")]

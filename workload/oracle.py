@@ -564,3 +564,9 @@ ORACLE["late_members"] = _sql(
     "sales_fact",
     "dim_user",
 )
+ORACLE["influencer_rejects"] = _sql(
+    """select inf_id, ref_code, metadata, 'no_inf_id' as reason from campaigns_src where inf_id is null
+       union all
+       select inf_id, ref_code, metadata, 'bad_metadata' from campaigns_src where metadata is not null and not json_valid(metadata)""",
+    "campaigns_src",
+)

@@ -351,6 +351,11 @@ def rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pooled.groupBy("table_name", "reason").agg(F.count(F.lit(1)).alias("rejected"))
 
 
+@query
+def influencer_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.influencer_rejects(source(spark, sf_dir, "influencer_campaigns"))
+
+
 @query
 def unknown_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = dims.dim_user(source(spark, sf_dir, "crm_users_export"))
