@@ -24,7 +24,7 @@ from roastery.rules import DEFAULT_RULES, UNKNOWN_PRODUCT, UNKNOWN_USER, Rules
 from roastery.storage import read_table, side_by_side, write_table
 
 
-def dim_product(products: DataFrame, known: DataFrame | None = None) -> DataFrame:
+def dim_product(products: DataFrame, known: DataFrame | None = None, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """One row per product code, plus the unknown product."""
     cleaned = products.select(
         F.col("p_code").alias("product_code"),
@@ -35,7 +35,7 @@ def dim_product(products: DataFrame, known: DataFrame | None = None) -> DataFram
         first_by_key(cleaned, "product_code"), "product_code", "product_key", "bigint", known
     )
     keyed = schemas.conform(keyed, "dim_product")
-    return keyed.unionByName(one_row(keyed, UNKNOWN_PRODUCT))
+    return keyed.unionByName(one_row(keyed, (rules.unknown_product_key, *UNKNOWN_PRODUCT[1:])))
 
 
 def ad_platforms(ad_spend: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -147,7 +147,7 @@ def calendar_rows(days: DataFrame) -> DataFrame:
     )
 
 
-def dim_user(users: DataFrame, known: DataFrame | None = None) -> DataFrame:
+def dim_user(users: DataFrame, known: DataFrame | None = None, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """One row per user id, plus the unknown user."""
     cleaned = users.select(
         F.trim("user_id").alias("user_id"),
@@ -157,7 +157,7 @@ def dim_user(users: DataFrame, known: DataFrame | None = None) -> DataFrame:
     )
     keyed = assign_keys(first_by_key(cleaned, "user_id"), "user_id", "user_key", "int", known)
     keyed = schemas.conform(keyed, "dim_user")
-    return keyed.unionByName(one_row(keyed, UNKNOWN_USER))
+    return keyed.unionByName(one_row(keyed, (rules.unknown_user_key, *UNKNOWN_USER[1:])))
 
 
 def flatten_influencers(campaigns: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roastery.operators.lookup import attach_key
+from roastery.rules import DEFAULT_RULES, Rules
 
 
 class OrphanError(ValueError):
@@ -184,7 +185,11 @@ def _with_reasons(cleaned: DataFrame, reasons: Mapping[str, Column]) -> DataFram
 
 
 def quality_report(
-    cleaned_sales: DataFrame, fact_sales: DataFrame, cleaned_spend: DataFrame, fact_ad_spend: DataFrame
+    cleaned_sales: DataFrame,
+    fact_sales: DataFrame,
+    cleaned_spend: DataFrame,
+    fact_ad_spend: DataFrame,
+    rules: Rules = DEFAULT_RULES,
 ) -> DataFrame:
     """table_name, check_name, value: one aggregate per table.
 
@@ -213,7 +218,7 @@ def quality_report(
                     "null_date_key": F.count_if(F.col("date_key").isNull()),
                     "null_user_key": F.count_if(F.col("user_key").isNull()),
                     "null_product_key": F.count_if(F.col("product_key").isNull()),
-                    "unknown_user": F.count_if(F.col("user_key") == 0),
+                    "unknown_user": F.count_if(F.col("user_key") == rules.unknown_user_key),
                     "total_amount": F.sum("amount"),
                 },
             ),

@@ -413,10 +413,10 @@ def build_dims(
     spend, leads = raw("daily_ad_spend"), raw("raw_web_leads")
     dates = dims.calendar_dates(raw("sales_dump"), raw("website_interactions"), spend, leads, rules)
     builders = {
-        "dim_product": lambda: dims.dim_product(raw("product_codes"), known("dim_product")),
+        "dim_product": lambda: dims.dim_product(raw("product_codes"), known("dim_product"), rules),
         "dim_platform": lambda: dims.dim_platform(spend, leads, rules, known("dim_platform")),
         "dim_date": lambda: dims.dim_date(*dates),
-        "dim_user": lambda: dims.dim_user(raw("crm_users_export"), known("dim_user")),
+        "dim_user": lambda: dims.dim_user(raw("crm_users_export"), known("dim_user"), rules),
         "dim_influencer": lambda: dims.dim_influencer(raw("influencer_campaigns"), known("dim_influencer")),
     }
 
@@ -573,6 +573,14 @@ def with_origin(df: DataFrame, origin: str | None) -> DataFrame:
     return df.withColumn("origin", F.lit(origin).cast("string"))
 
 
+def export_served(
+    spark: SparkSession, layout: Layout, options: Mapping[str, str], fmt: str = "jdbc"
+) -> tuple[list[str], list[str]]:
+    """Export the serving tables that are there; returns their names, and those of the tables skipped as absent."""
+    tables, missing = served_tables(spark, layout)
+    return export_tables(tables, options, fmt), missing
+
+
 def run_pipeline(
     spark: SparkSession,
     src: str,
@@ -599,6 +607,5 @@ def run_pipeline(
         served, reports = build_serving(spark, layout, rules)
         rows.update(served)
         if export_options is not None:
-            tables, _missing = served_tables(spark, layout)
-            export_tables(tables, export_options, export_format)
+            export_served(spark, layout, export_options, export_format)
     return rows, reports

@@ -62,5 +62,10 @@ class Rules:
     breakeven: float = 1.0
     feed_size: int = 50
 
+    def __post_init__(self) -> None:
+        # Members are numbered from 1.
+        if self.unknown_user_key > 0 or self.unknown_product_key > 0:
+            raise ValueError("the keys of the unknown user and product must not be positive")
+
 
 DEFAULT_RULES = Rules()

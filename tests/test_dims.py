@@ -7,8 +7,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from roastery import schemas
 from roastery.operators import dims
 from roastery.operators.keys import assign_keys, first_by_key, number_rows
+from roastery.rules import Rules
 
 
 def rows(df):
@@ -136,3 +138,15 @@ def test_dim_platform_pools_both_sides(spark):
         (4, "other"),
         (5, "tiktok"),
     ]
+
+
+def test_unknown_members_have_the_keys_of_the_rules(spark):
+    rules = Rules(unknown_user_key=-5, unknown_product_key=-7)
+    users = spark.createDataFrame([("u1", "Ann", None, None)], schemas.SOURCES["crm_users_export"])
+    products = spark.createDataFrame([("P1", "Mug", "$1")], schemas.SOURCES["product_codes"])
+    assert sorted(r["user_key"] for r in dims.dim_user(users, None, rules).collect()) == [-5, 1]
+    assert sorted(r["product_key"] for r in dims.dim_product(products, None, rules).collect()) == [-7, 1]
+    again = dims.dim_user(users, dims.dim_user(users, None, rules), rules)
+    assert sorted(r["user_key"] for r in again.collect()) == [-5, 1]
+    with pytest.raises(ValueError):
+        Rules(unknown_user_key=3)

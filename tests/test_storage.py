@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from roastery import schemas, storage
 from roastery.operators import upsert as up
-from roastery.plans.lakehouse import Layout, read_latest_sales, read_sales, with_sales_partition
+from roastery.plans.lakehouse import Layout, export_served, read_latest_sales, read_sales, with_sales_partition
 from roastery.sources import export, raw
 from roastery.storage import (
     materialize,
@@ -318,3 +318,13 @@ def test_parts_of_a_table_are_read_by_name(spark, tmp_path):
     assert rows(named) == [("4", "3")]
     with pytest.raises(ValueError, match="columns missing"):
         raw.read_raw(spark, str(parts), schemas._text("a", "b"))
+
+
+def test_absent_tables_are_skipped_and_named(spark, tmp_path):
+    layout = Layout(str(tmp_path / "lake"))
+    write_table(spark.createDataFrame([(1, "u1", "Ann", None, "0049")], schemas.STAR["dim_user"]), layout.serving("dim_user"))
+    write_snapshot(spark.createDataFrame([], schemas.STAR["fact_ad_spend"]), layout.serving("fact_ad_spend"))
+    options = {"path": str(tmp_path / "export")}
+    written, skipped = export_served(spark, layout, options, "parquet")
+    assert (written, "fact_sales" in skipped, len(skipped)) == (["dim_user", "fact_ad_spend"], True, 6)
+    assert export.read_exported(spark, "dim_user", options, "parquet").count() == 1
