@@ -44,6 +44,7 @@ ROWS = 4
 BITS = 2
 FUNCTIONS = 512  # minima whose low bits are kept; the first BANDS * ROWS make the band keys
 SIGMAS = 5  # how far below the expected agreement the estimate of a link may lie: 3e-7 of links at the limit
+PRODUCTS = 1 << 19  # hash values worked on at once
 SHARPER = 4096  # minima of the members that are still mixed after the first round
 HEAD_ROUNDS = 2
 HEADS = 8  # of a key, from the second round on
@@ -71,8 +72,9 @@ def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
 def minima(shingles: np.ndarray, functions: np.ndarray) -> np.ndarray:
     """The smallest value of each hash function over a set; bounded memory for any size."""
     out = np.full(len(functions), np.iinfo(np.uint64).max)
-    for at in range(0, len(shingles), 2048):
-        np.minimum(out, (functions[:, None] * shingles[None, at : at + 2048]).min(axis=1), out=out)
+    step = max(64, PRODUCTS // len(functions))
+    for at in range(0, len(shingles), step):
+        np.minimum(out, (functions[:, None] * shingles[None, at : at + step]).min(axis=1), out=out)
     return out
 
 

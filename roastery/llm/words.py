@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 LONG = 64  # bytes of a word
 #: Bytes between words: space and the ASCII white space.
 SPACES = np.zeros(256, bool)
