@@ -64,6 +64,7 @@ class Tokenizer:
         self.around = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.pieces = regex.compile(PIECES)
         self.known = _Known(self)
+        self.cache = CACHE
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one piece."""
@@ -98,7 +99,7 @@ class Tokenizer:
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text, as little-endian unsigned 32-bit numbers."""
-        if len(self.known) > CACHE:
+        if len(self.known) > self.cache:
             self.known.clear()
         known, find = self.known.__getitem__, self.pieces.findall
         if self.around is None or not any(token in text for token in self.special):
@@ -137,9 +138,10 @@ def _tokenizer(definition: str) -> Tokenizer:
     return _loaded[key]
 
 
-def _encode(definition, decoded: bool):
+def _encode(definition, decoded: bool, cache: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(definition.value)
+        tokenizer.cache = cache
         for batch in batches:
             for part in W.chunks(batch, "text"):
                 ids = [tokenizer.encode(text or "") for text in part.column("text").to_pylist()]
@@ -158,7 +160,7 @@ def _definition(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(file.read())
 
 
-def encode(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text", decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text", decoded: bool = False, cache: int = CACHE) -> DataFrame:
     """Per document: ``doc_id, n_tokens, ids`` and, if asked, ``decoded``, the text that the ids give back.
 
     ``tokenizer`` is the path of a byte-level BPE definition on the driver.  ``ids`` are
@@ -166,11 +168,12 @@ def encode(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_colu
     special tokens spelled out in a text get their own id, none is added, and
     nothing is truncated or padded.  NULL and empty texts have no ids and decode to
     an empty text.  Every row is encoded by itself, so repeated rows and NULL ids
-    pass as they are; other columns are not read, whatever their names.
+    pass as they are; other columns are not read, whatever their names.  A Python worker
+    remembers the ids of ``cache`` pieces at most, about 200 bytes each, also between tasks.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     schema = "doc_id long, n_tokens long, ids binary" + (", decoded string" if decoded else "")
-    return texts.mapInArrow(_encode(_definition(docs, tokenizer), decoded), schema)
+    return texts.mapInArrow(_encode(_definition(docs, tokenizer), decoded, cache), schema)
 
 
 def _decode(definition):
