@@ -15,6 +15,8 @@ from roastery.llm.native import sized
 from roastery.storage import materialize, scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: Pieces a worker remembers: fewer than by default, since it has the other stages' memory as well.
+WORKER_PIECES = 100_000
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,7 +75,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, and a digest of the text that they decode to."""
-    found = bpe.encode(docs, TOKENIZER, decoded=True)
+    found = bpe.encode(docs, TOKENIZER, decoded=True, cache=WORKER_PIECES)
     return found.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
