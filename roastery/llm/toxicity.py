@@ -208,8 +208,13 @@ def token_labels(tokens: Tokens | Sample, toxic: np.ndarray) -> np.ndarray:
     common = np.concatenate([seen for *_, seen in tables])
     least = evidence(common, toxic.mean())
     marked = np.zeros(len(owner), bool)
-    for kind, names, yes, no, docs, _ in tables:
-        marked |= _among(sample.forms[kind], names[(np.minimum(yes, docs) >= least) & (no <= 0.02 * yes)])
+    while True:
+        for kind, names, yes, no, docs, _ in tables:
+            marked |= _among(sample.forms[kind], names[(np.minimum(yes, docs) >= least) & (no <= 0.02 * yes)])
+        # Too few documents for evidence: the forms that come closest to it, since without any all documents score alike.
+        if least == 2 or (marked & of_toxic).any():
+            break
+        least -= 1
     # Toxic documents not reached so: the form without other contexts that reaches most of them, and again.
     while True:
         missed = toxic.copy()
@@ -240,8 +245,9 @@ def _among(values: np.ndarray, names: np.ndarray) -> np.ndarray:
 
 def evidence(seen: np.ndarray, share: float) -> int:
     """How many documents must have a form, all of them of a class with this ``share``, for chance to bring about no more than half a form."""
+    times, forms = np.unique(seen, return_counts=True)
     least = 2
-    while (seen >= least).sum() * share**least > 0.5:
+    while (forms * share ** times.astype(float))[times >= least].sum() > 0.5:
         least += 1
     return least
 
@@ -290,14 +296,34 @@ def fit(sample: list[tuple[str, int]], steps: int = STEPS, rate: float = 1.0, de
         field.ties -= rate * pulls[3] / np.sqrt(totals[3])
     del lessons
     shown = np.concatenate([figures(*field.tag(chunk)) for chunk in texts])
-    for _ in range(25):  # Newton steps with a little decay
-        p = 1 / (1 + np.exp(-np.clip(shown @ field.document, -30, 30)))
-        pull = shown.T @ (p - labels) + 0.1 * np.array([0, 1, 1]) * field.document
-        curve = (shown * (p * (1 - p) + 1e-6)[:, None]).T @ shown + 0.1 * np.diag([1e-3, 1, 1])
-        field.document = field.document - np.linalg.solve(curve, pull)
+    field.document = _logistic(shown, labels, field.document)
     return field
 
 
+def _logistic(shown: np.ndarray, labels: np.ndarray, start: np.ndarray, steps: int = 50) -> np.ndarray:
+    """Weights of the document's logistic function, slopes with a little decay, by damped Newton steps.
+
+    Labels that the figures all but separate flatten the curve, and whole steps overshoot then; so a step
+    is halved until the loss, which is convex, falls.
+    """
+    decay = 0.1 * np.array([0, 1, 1])
+    loss = lambda w: np.logaddexp(0, shown @ w).sum() - (shown[labels] @ w).sum() + (decay * w * w).sum() / 2
+    weights, now = start, loss(start)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(shown @ weights, -30, 30)))
+        pull = shown.T @ (p - labels) + decay * weights
+        curve = (shown * (p * (1 - p) + 1e-6)[:, None]).T @ shown + np.diag([1e-4, 0.1, 0.1])
+        step = np.linalg.solve(curve, pull)
+        gain, size = float(pull @ step), 1.0
+        while size > 1e-6 and not loss(weights - size * step) <= now - 1e-4 * size * gain:
+            size /= 2
+        if gain < 1e-9 or size <= 1e-6:
+            break
+        weights = weights - size * step
+        now = loss(weights)
+    return weights
+
+
 def _lessons(texts: list[pa.Array], owner: np.ndarray, taught: np.ndarray, marks: np.ndarray) -> Iterator[tuple]:
     """Chunk by chunk, of the documents that teach: features, first tokens, tags, and the tokens that follow another."""
     token = 0

@@ -113,3 +113,44 @@ def test_scores_do_not_depend_on_the_chunk():
     texts = [t for _, t, _ in corpus(20, 9)] + ["", None]
     alone = [field.score(*field.tag(pa.array([t], pa.string())))[0] for t in texts]
     assert np.allclose(field.score(*field.tag(pa.array(texts))), alone)
+
+
+def loaded(n, seed):
+    """Texts whose toxic ones have several telling words, so that the figures separate the labels."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        words = ["".join(rng.choice(["ka", "mo", "ri", "te", "lu"]) for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(5, 60))]
+        toxic = rng.random() < 0.1
+        if toxic:
+            for _ in range(rng.randrange(3, 9)):
+                words.insert(rng.randrange(len(words) + 1), rng.choice(["Gromp", "zwickel", "Knorf", "plunk"]))
+        rows.append((" ".join(words) + ".", int(toxic)))
+    return rows
+
+
+@pytest.mark.parametrize("size", [60, 80])
+def test_separated_labels_are_ranked(size):
+    field, unseen = X.fit(loaded(size, 1)), loaded(300, 2)
+    scores = field.score(*field.tag(pa.array([t for t, _ in unseen])))
+    toxic = np.array([y for _, y in unseen], bool)
+    assert scores[toxic].min() > scores[~toxic].max()
+
+
+def test_the_logistic_function_does_not_overshoot():
+    shown = np.column_stack([np.ones(400), np.r_[np.zeros(360), np.linspace(2, 4, 40)], np.r_[np.full(360, 1e-4), np.ones(40)]])
+    labels = np.arange(400) >= 360
+    weights = X._logistic(shown, labels, np.array([-2.2, 0.0, 0.0]))
+    assert np.abs(weights).max() < 30 and ((shown @ weights > 0) == labels).all()
+
+
+def test_few_toxic_texts_still_teach():
+    """Three texts with a word are no evidence among so many forms; the forms closest to it are taken."""
+    rng = random.Random(5)
+    known = ["".join(rng.choice("kmrtlbdg") + rng.choice("aeiou") for _ in range(3)) for _ in range(1500)]
+    texts = [" ".join(rng.sample(known, 50)) + (f" gromp {known[i]}" if i < 3 else "") for i in range(52)]
+    toxic = np.arange(52) < 6
+    tokens = X.Tokens.of(pa.array(texts))
+    marks = X.token_labels(tokens, toxic)
+    words = [tokens.words.data[s:e].tobytes() for s, e in zip(tokens.words.starts, tokens.words.ends)]
+    assert [w for w, m in zip(words, marks) if m].count(b"gromp") == 3
