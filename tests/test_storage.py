@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import shutil
 import time
 from decimal import Decimal
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from roastery import schemas, storage
 from roastery.operators import upsert as up
 from roastery.plans.lakehouse import Layout, export_served, read_latest_sales, read_sales, with_sales_partition
-from roastery.sources import export, raw
+from roastery.sources import export, headers, raw
 from roastery.storage import (
     materialize,
     path_exists,
@@ -328,3 +329,13 @@ def test_absent_tables_are_skipped_and_named(spark, tmp_path):
     written, skipped = export_served(spark, layout, options, "parquet")
     assert (written, "fact_sales" in skipped, len(skipped)) == (["dim_user", "fact_ad_spend"], True, 6)
     assert export.read_exported(spark, "dim_user", options, "parquet").count() == 1
+
+
+def test_headers_need_no_more_than_the_start_of_a_file(spark, tmp_path):
+    """A file cut short fails every read to its end."""
+    whole = gzip.compress(b"id,a note\n" + b"".join(f"{i},{i * 7919 % 104729}\n".encode() for i in range(400_000)))
+    path = tmp_path / "cut short.csv.gz"
+    path.write_bytes(whole[: len(whole) // 2])
+    (tmp_path / "empty.csv").write_text("")
+    found = headers.read_headers(spark, str(tmp_path))
+    assert [(f.rsplit("/", 1)[1], h) for f, h in found.items()] == [("cut%20short.csv.gz", ("id", "a note"))]
