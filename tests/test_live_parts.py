@@ -70,3 +70,14 @@ def test_a_merge_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
     append_live(spark, layout, sales(spark, "x"), f"t-{0:012d}")
     assert f"b-t-{0:012d}" in merge_parts(spark, layout, f"s-{3:012d}")
     assert ids(read_sales(spark, layout)) == ["0", "1", "2", "x"]
+
+
+def test_a_batch_has_one_file_a_month(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    months = [202601 + m for m in range(6)]
+    rows = [(f"{m}-{d}", m * 100 + d, 1, 1, Decimal("1.00"), None, None) for m in months for d in range(1, 29)]
+    batch = with_origin(spark.createDataFrame(rows, schema_of()), schemas.LIVE)
+    assert append_live(spark, layout, batch, f"s-{0:012d}") == len(rows)
+    files = list((tmp_path / "serving" / "_live_sales").glob("part=*/month_key=*/*.parquet"))
+    assert sorted(f.parent.name for f in files) == [f"month_key={m}" for m in months]
+    assert ids(read_sales(spark, layout)) == sorted(r[0] for r in rows)
