@@ -317,7 +317,7 @@ def _logistic(shown: np.ndarray, labels: np.ndarray, start: np.ndarray, steps: i
         gain, size = float(pull @ step), 1.0
         while size > 1e-6 and not loss(weights - size * step) <= now - 1e-4 * size * gain:
             size /= 2
-        if gain < 1e-9 or size <= 1e-6:
+        if gain < 1e-20 or size <= 1e-6:
             break
         weights = weights - size * step
         now = loss(weights)
