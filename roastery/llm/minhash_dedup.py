@@ -7,16 +7,22 @@
 3. Classes that share a band key are candidates.  In each key one member, the
    head, is compared with the others, so work is linear in the members; keys
    whose members are already one component are done, the head leaves the rest,
-   and the next round goes on with what is mixed.  After the first round, members
-   that share too few shingles with all others are ruled out, and the members
-   with the fewest shingles of their own become the heads, several in a key:
-   what can be linked is most often linked with these.  When few pairs of different
-   components are left, they are compared directly, so no link is passed over.
-4. A comparison first counts equal packed minima (bit counts, corrected for the
+   and the next step goes on with what is mixed.  Then members that share too few
+   shingles with all others are ruled out.  When few pairs of different components
+   are left, they are compared directly, so no link is passed over.
+4. When many are left, as in a large group of copies with changes around the limit, the
+   shingles that most of a group's members hold are its base, and a member is what it
+   differs by from the base.  Two members hold ``|X ^ Y| = |X ^ B| + |Y ^ B| - 2 shared
+   differences`` apart, so a link needs a known number of shared differences: members are
+   dealt to keys of their rarest differences, enough of them that any two with that many in
+   common meet in one.  A key's members are dealt again, by what they share besides, until few
+   pairs are left.  What needs no more shared differences is linked with the key's least
+   different member.  Nothing is left out, whatever the base.
+5. A comparison first counts equal packed minima (bit counts, corrected for the
    chance agreement of low bits), far enough below the limit that a true link
-   does not fail it, and then confirms on the full sets.  What is still mixed after
-   the first round gets eight times as many minima, so that fewer pairs below the
-   limit reach the full sets.
+   does not fail it, and then confirms on the full sets.  What is compared directly
+   gets eight times as many minima, so that fewer pairs below the limit reach the full
+   sets; differences need none, they rule out nearly all such pairs.
 
 Links within one component need no confirmation for the result, which is each
 document's component.
@@ -45,9 +51,8 @@ BITS = 2
 FUNCTIONS = 512  # minima whose low bits are kept; the first BANDS * ROWS make the band keys
 SIGMAS = 5  # how far below the expected agreement the estimate of a link may lie: 3e-7 of links at the limit
 PRODUCTS = 1 << 19  # hash values worked on at once
-SHARPER = 4096  # minima of the members that are still mixed after the first round
-HEAD_ROUNDS = 2
-HEADS = 8  # of a key, from the second round on
+SHARPER = 4096  # minima of the members that are compared directly after the heads
+HEAD_ROUNDS = 1
 FEW_PAIRS = 4  # per member, compared directly
 BROADCAST_ROWS = 1_000_000  # of one long
 NAMELESS = 2**62  # nodes from here on are rows without id
@@ -226,6 +231,88 @@ def _linkable(rest: DataFrame, involved: DataFrame, shingle: int, similarity: tu
     return counted.join(least, "k").where(may).drop("least_n")
 
 
+def _homes(rest: DataFrame) -> DataFrame:
+    """``k, id, c``: the members of ``rest`` under fewer keys, so that members of one key are still together.
+
+    Each key goes to the most crowded key that any of its members has.
+    """
+    crowd = rest.groupBy("k").agg(F.count(F.lit(1)).alias("s"))
+    most = rest.join(crowd, "k").groupBy("rep").agg(F.max(F.struct("s", "k")).alias("most"))
+    home = rest.join(most, "rep").groupBy("k").agg(F.max("most")["k"].alias("home"))
+    return materialize(rest.join(home, "k").select(F.col("home").alias("k"), F.col("rep").alias("id"), "c").distinct(), "homes")
+
+
+def _differences(homes: DataFrame, involved: DataFrame, shingle: int, similarity: tuple[int, int]) -> DataFrame:
+    """``k, rep, v, c, w, items``: the shingles that only the member or only the base of its key holds.
+
+    The base are the shingles that more than half of a key's members hold.  ``w`` is such that members are linked when
+    ``2 * sum(similarity) * shared items >= w + w``; ``v`` tells apart texts under one id.
+    """
+    low, high = similarity
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in W.chunks(batch, "text"):
+                sets = shingle_sets(part.column("text"), shingle)
+                keys = np.repeat(part.column("k").to_numpy(zero_copy_only=False), [len(s) for s in sets])
+                hashes = np.concatenate(sets).view(np.int64)
+                order = np.lexsort((hashes, keys))
+                keys, hashes = keys[order], hashes[order]
+                new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (hashes[1:] != hashes[:-1])])[: len(keys)])
+                times = np.diff(np.append(new, len(keys)))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[new], pa.int64()), pa.array(hashes[new]), pa.array(times, pa.int64())], ["k", "h", "q"])
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in W.chunks(batch, "text"):
+                digests, weights, items = [], [], []
+                for found, base in zip(shingle_sets(part.column("text"), shingle), part.column("base")):
+                    held = np.asarray(base.values if base.is_valid else [], np.int64)
+                    items.append(np.setxor1d(found.view(np.int64), held, assume_unique=True))
+                    digests.append(int(W.mix(found).sum(dtype=np.uint64)))
+                    weights.append((high + low) * len(items[-1]) - (high - low) * len(found))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("k"),
+                        part.column("id"),
+                        pa.array(np.array(digests, np.uint64).view(np.int64)),
+                        part.column("c"),
+                        pa.array(weights, pa.int64()),
+                        pa.array(items, pa.list_(pa.int64())),
+                    ],
+                    ["k", "rep", "v", "c", "w", "items"],
+                )
+
+    texts = homes.join(involved.select("id", "text"), "id")
+    held = texts.select("k", "text").mapInArrow(counts, "k long, h long, q long").groupBy("k", "h").agg(F.sum("q").alias("q"))
+    members = homes.groupBy("k").agg(F.count(F.lit(1)).alias("s"))
+    base = materialize(held.join(members, "k").where(F.col("q") * 2 > F.col("s")).groupBy("k").agg(F.collect_list("h").alias("base")), "base")
+    found = texts.join(base, "k", "left").select("k", "id", "c", "text", "base")
+    return materialize(found.mapInArrow(differ, "k long, rep long, v long, c long, w long, items array<long>"), "differences")
+
+
+def _dealt(rest: DataFrame, got: int, unit: int) -> tuple[DataFrame, DataFrame]:
+    """Members dealt to keys of one shared item more than the ``got`` that those of a key share so far.
+
+    No two members of different components may be linked by ``got`` items alone.  A member whose best partner in the
+    key needs ``r`` more goes to all but ``r - 1`` of its items that another component has too, rarest first:
+    the first item that two linked members share is among these in both, the others come after it.
+    Returns the dealt members, without items, and the members with ordered items, which they are cut from.
+    """
+    first = rest.groupBy("k").agg(F.min(F.struct("w", "c")).alias("first"))
+    other = rest.join(first, "k").groupBy("k").agg(F.first("first").alias("first"), F.min(F.when(F.col("c") != F.col("first.c"), F.col("w"))).alias("second"))
+    single = rest.select("k", "rep", "v", "c", "w", F.explode("items").alias("h"))
+    times = single.groupBy("k", "h").agg(F.count(F.lit(1)).alias("f"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("k", "h", "f")
+    shared = single.join(times, ["k", "h"]).groupBy("k", "rep", "v", "c", "w").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("items"))
+    best = F.when(F.col("c") == F.col("first.c"), F.col("second")).otherwise(F.col("first.w"))
+    more = F.greatest(F.ceil((F.col("w") + best) / unit) - got, F.lit(1))
+    ordered = shared.join(other, "k").select("k", "rep", "v", "c", "w", F.col("items.h").alias("items"), (F.size("items") - more + 1).cast("int").alias("places"))
+    ordered = materialize(ordered.where("places > 0"), "ordered")
+    placed = ordered.select("k", "rep", "v", "c", "w", F.size("items").alias("size"), F.posexplode(F.slice("items", F.lit(1), F.col("places"))).alias("place", "h"))
+    dealt = placed.select(F.xxhash64("k", "h").alias("k"), F.col("k").alias("of"), "rep", "v", "c", "w", "place", (F.col("size") - F.col("place") + got).alias("m"))
+    return dealt, ordered.select(F.col("k").alias("of"), "rep", "v", "items")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -306,9 +393,10 @@ def _links(texts: DataFrame, classes: DataFrame, shingle: int, similarity: tuple
         agree = long_agreement(F.col("long_a"), F.col("long_b"), bits)
         return with_both(left, sharper, "long").where(agree >= least_agreement(similarity[0] / similarity[1], SHARPER, bits)).select("a", "b")
 
-    def confirmed(pairs: DataFrame, sharper: DataFrame | None) -> DataFrame:
+    def confirmed(pairs: DataFrame, sharper: DataFrame | None, estimate: bool = True) -> DataFrame:
         candidates = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
-        return with_both(materialize(likely(candidates, sharper), "likely"), involved, "text").mapInArrow(_confirm(shingle, similarity), "a long, b long")
+        left = materialize(likely(candidates, sharper), "likely") if estimate else candidates
+        return with_both(left, involved, "text").mapInArrow(_confirm(shingle, similarity), "a long, b long")
 
     def possible(x: str, y: str) -> Column:
         """Whether two members of a key may be linked: other components, sizes and shared shingles."""
@@ -321,6 +409,44 @@ def _links(texts: DataFrame, classes: DataFrame, shingle: int, similarity: tuple
         several = members.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("k")
         return members.join(several, "k", "left_semi")
 
+    def left_over(members: DataFrame, cost: Column) -> tuple:
+        """The members' costs, and the pairs of different components in the keys; of none, NULL."""
+        sizes = members.groupBy("k", "c").agg(F.sum(cost).alias("cost"), F.count(F.lit(1)).alias("s"))
+        sizes = sizes.groupBy("k").agg(F.sum("cost").alias("cost"), F.sum("s").alias("s"), F.sum(F.col("s") * F.col("s")).alias("q"))
+        return sizes.agg(F.sum("cost"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
+
+    def joined(links: DataFrame, found: DataFrame) -> DataFrame:
+        """``found`` with more links, of which only those between its components are followed."""
+        for side in ("a", "b"):
+            links = links.join(found, F.col(side) == F.col("node"), "left").withColumn(side, F.coalesce("component", side)).select("a", "b")
+        merged = components(links)
+        new = merged.join(found.select("node"), "node", "left_anti")
+        moved = found.join(merged.select(F.col("node").alias("component"), F.col("component").alias("into")), "component", "left")
+        return materialize(moved.select("node", F.coalesce("into", "component").alias("component")).unionAll(new), "found")
+
+    def narrowed(rest: DataFrame, found: DataFrame) -> DataFrame:
+        """``found`` with all links that are left in ``rest``, by the differences of its members."""
+        unit = 2 * sum(similarity)
+        enough_for = lambda shared: F.col("x.w") + F.col("y.w") <= unit * shared
+        other = (F.col("x.k") == F.col("y.k")) & (F.col("x.c") != F.col("y.c"))
+        rest, got = _differences(_homes(rest), involved, shingle, similarity), 0
+        while True:
+            heads = materialize(rest.groupBy("k").agg(F.min(F.struct("w", "rep", "c")).alias("h")).select("k", "h.*"), "heads")
+            proven = rest.alias("x").join(heads.alias("y"), other & enough_for(F.lit(got)))
+            found = joined(confirmed(proven.select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b")), None, estimate=False), found)
+            again = rest.drop("c").join(found, F.col("rep") == F.col("node"), "left").withColumn("c", F.coalesce("component", "rep"))
+            dealt, ordered = _dealt(materialize(mixed(again.drop("node", "component")), "mixed"), got, unit)
+            got += 1
+            dealt = materialize(mixed(dealt), "dealt")
+            cost, pairs_left = left_over(dealt, F.col("m"))
+            if cost is None:
+                return found
+            if pairs_left <= FEW_PAIRS * cost:
+                pairs = dealt.alias("x").join(dealt.alias("y"), other & (F.col("x.rep") < F.col("y.rep")) & enough_for(F.least("x.m", "y.m")))
+                return joined(confirmed(pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")), None), found)
+            after = F.slice("items", F.col("place") + 2, F.size("items") - F.col("place") - 1)
+            rest = dealt.join(ordered, ["of", "rep", "v"]).select("k", "rep", "v", "c", "w", after.alias("items"))
+
     found, sharper = spark.createDataFrame([], "node long, component long"), None
     columns = ["k", "rep", "n", "m"]
     rest = shared.join(signs, F.col("rep") == F.col("id")).withColumn("m", F.col("n")).select(columns)
@@ -329,26 +455,24 @@ def _links(texts: DataFrame, classes: DataFrame, shingle: int, similarity: tuple
         rest = materialize(mixed(labelled), "mixed")
         if turn == 1:
             rest = materialize(mixed(_linkable(rest, involved, shingle, similarity)), "linkable")
-            sharper = _sharpened(rest, involved, shingle, bits)
-        sizes = rest.groupBy("k", "c").agg(F.count(F.lit(1)).alias("s")).groupBy("k").agg(F.sum("s").alias("s"), F.sum(F.col("s") * F.col("s")).alias("q"))
-        members, pairs_left = sizes.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
+        members, pairs_left = left_over(rest, F.lit(1))
         if not members:
             break
-        direct = turn == HEAD_ROUNDS or (turn and pairs_left <= FEW_PAIRS * members)
+        direct = turn and pairs_left <= FEW_PAIRS * members
+        if turn == HEAD_ROUNDS and not direct:
+            return narrowed(rest, found)
         if direct:
+            sharper = _sharpened(rest, involved, shingle, bits)
             of_key = (F.col("x.k") == F.col("y.k")) & (F.col("x.rep") < F.col("y.rep"))
             pairs = rest.alias("x").join(rest.alias("y"), of_key & possible("x", "y"))
             pairs = pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
         else:
-            # The smallest of each slot: few shingles of its own first, which are none before they are counted.
-            order = F.struct(((F.col("n") - F.col("m")) / F.col("n")).alias("own"), F.xxhash64("rep", F.lit(turn)).alias("o"), "rep", "c", "n", "m")
-            slot = F.pmod(F.xxhash64("rep", F.lit(turn + HEAD_ROUNDS)), F.lit(HEADS if turn else 1))
-            heads = materialize(rest.groupBy("k", slot.alias("slot")).agg(F.min(order).alias("h")).select("k", "h.*"), "heads")
+            order = F.struct(F.xxhash64("rep", F.lit(turn)).alias("o"), "rep", "c", "n", "m")
+            heads = materialize(rest.groupBy("k").agg(F.min(order).alias("h")).select("k", "h.*"), "heads")
             pairs = rest.alias("x").join(heads.alias("y"), (F.col("x.k") == F.col("y.k")) & possible("x", "y"))
             pairs = pairs.select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"))
             rest = rest.join(heads.select("k", "rep"), ["k", "rep"], "left_anti").select(columns)
-        known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        found = components(confirmed(pairs, sharper).unionAll(known))
+        found = joined(confirmed(pairs, sharper), found)
         if direct:
             break
     return found
